@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import language, quality
+from pyspark.sql import functions as F
+
+from corpusloom.llm import language, leakage, mcl, neardup, ocr, packing, quality, split, subjects, tokens
 from corpusloom.session import table
 
+LIMITS = {"corpus": ("id", 4000, 300), "metadata": ("chunk_id", 2000, 150)}
+
 
 def p1_found(spark, d):
     return language.mislabelled(table(spark, d, "corpus"))
@@ -15,6 +19,64 @@ def p1_segments(spark, d):
     return language.label_languages(table(spark, d, "corpus"))
 
 
+def p2_found(spark, d):
+    return ocr.damaged_lines(table(spark, d, "corpus"))
+
+
+def p2_repaired(spark, d):
+    return ocr.repair(table(spark, d, "corpus"))
+
+
+def _pieces(spark, d):
+    out = None
+    for name, (key, limit, overlap) in LIMITS.items():
+        p = split.split_oversized(table(spark, d, name), key, limit, overlap).withColumnRenamed(key, "item_key").withColumn("table_name", F.lit(name))
+        out = p if out is None else out.unionByName(p)
+    return out.select("table_name", "item_key", "piece_no", "n_pieces", "start", "overlap_chars", "text")
+
+
+def p3_found(spark, d):
+    return _pieces(spark, d).where("piece_no = 0 and n_pieces > 1").select("table_name", "item_key")
+
+
+def p3_pieces(spark, d):
+    return _pieces(spark, d)
+
+
+def p4_found(spark, d):
+    return neardup.NearDuplicates(table(spark, d, "corpus"), "id", shingle=3, threshold=0.5).pairs()
+
+
+def p4_versions(spark, d):
+    """One row per record: class of equal records, group and number of links, at five words and 0.8."""
+    return neardup.NearDuplicates(table(spark, d, "corpus"), "id").versions()
+
+
+def p5_token_budget(spark, d):
+    pieces = tokens.read_pieces(table(spark, d, "tokenizer_vocab"))
+    return tokens.token_cube(tokens.count_tokens(tokens.documents_with_slices(table(spark, d, "corpus")), "id", pieces))
+
+
+def p5_documents(spark, d):
+    pieces = tokens.read_pieces(table(spark, d, "tokenizer_vocab"))
+    return tokens.count_tokens(tokens.documents_with_slices(table(spark, d, "corpus")), "id", pieces)
+
+
+def p6_found(spark, d):
+    return mcl.VectorClusters(table(spark, d, "chunk_vectors")).pairs()
+
+
+def p6_clusters(spark, d):
+    """Every chunk of metadata with its cluster, -1 for noise."""
+    found = mcl.VectorClusters(table(spark, d, "chunk_vectors")).checked().select("chunk_id", "cluster", "size")
+    chunks = table(spark, d, "metadata").select("chunk_id").where("chunk_id is not null").distinct()
+    return chunks.join(found, "chunk_id", "left").select("chunk_id", F.coalesce("cluster", F.lit(-1)).alias("cluster"), F.coalesce("size", F.lit(0)).alias("size"))
+
+
+def p6_described(spark, d):
+    return mcl.VectorClusters(table(spark, d, "chunk_vectors")).described()
+
+
 def p7_found(spark, d):
     return quality.text_quality(table(spark, d, "corpus")).where("kind <> 'prose'").select("id", "kind")
 
@@ -23,5 +85,39 @@ def p7_statistics(spark, d):
     return quality.text_quality(table(spark, d, "corpus"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p7_found, p7_statistics)}
-SQL: dict[str, str] = {}
+def _packed(spark, d):
+    return packing.pack_documents(table(spark, d, "documents"), tokens.read_pieces(table(spark, d, "tokenizer_vocab")))
+
+
+def p8_found(spark, d):
+    return _packed(spark, d).where("piece_no = 0 and n_pieces > 1").select("doc_id")
+
+
+def p8_containers(spark, d):
+    return _packed(spark, d)
+
+
+def p9_found(spark, d):
+    return leakage.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
+
+
+def p10_found(spark, d):
+    return subjects.document_subjects(table(spark, d, "documents"), table(spark, d, "subject_labels"), table(spark, d, "subjects")).select("doc_id", "subject")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        p1_found, p1_segments, p2_found, p2_repaired, p3_found, p3_pieces, p4_found, p4_versions, p5_token_budget, p5_documents, p6_found,
+        p6_clusters, p6_described, p7_found, p7_statistics, p8_found, p8_containers, p9_found, p10_found,
+    )
+}
+
+#: The cases of problem 3 are those of a length, which SQL states; the pieces are tested by round trips.
+SQL: dict[str, str] = {
+    "p3_found": """
+        SELECT DISTINCT 'corpus' AS table_name, id AS item_key FROM corpus WHERE length(text) > 4000 AND id IS NOT NULL
+        UNION ALL
+        SELECT DISTINCT 'metadata', chunk_id FROM metadata WHERE length(text) > 2000 AND chunk_id IS NOT NULL
+    """,
+}
