@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.base import WORD, materialise, not_blank, parallelism, slug
+from corpusloom.llm.language import VOTES
 
 _BLANK = re.compile(r"\n[^\S\n]*\n\s*")
 _STOP = re.compile(r"[.!?]+[\"'”’)]*\s")
@@ -116,88 +117,99 @@ def fit_votes(patterns: np.ndarray, counts: np.ndarray, subjects: int, iteration
     return post, acc
 
 
+_VOTERS = [frozenset(v.split()) for v in VOTES.values()]
+
+
+def _language(ws: set[str]) -> int:
+    """Number of the language most of whose function words occur: word counts are compared inside one language only."""
+    n = [len(ws & v) for v in _VOTERS]
+    return n.index(max(n))
+
+
+class _Counts:
+    """(language, word) -> counts by subject, emptied into a frame before it grows large."""
+
+    def __init__(self, subjects: int) -> None:
+        self.subjects, self.held, self.totals = subjects, {}, np.zeros((len(_VOTERS), subjects), np.int64)
+
+    def add(self, ws: set[str], ks: list[int]) -> None:
+        lang = _language(ws)
+        for k in ks:
+            self.totals[lang, k] += 1
+        for w in ws:
+            if len(w) > 2:
+                row = self.held.setdefault((lang, w), [0] * self.subjects)
+                for k in ks:
+                    row[k] += 1
+
+    def frame(self, last: bool = False) -> pd.DataFrame:
+        rows = [(lang, w, k, n) for (lang, w), ns in self.held.items() for k, n in enumerate(ns) if n]
+        self.held = {}
+        if last:
+            rows += [(lang, "", k, int(n)) for (lang, k), n in np.ndenumerate(self.totals) if n]
+        return pd.DataFrame(rows, columns=["lang", "w", "k", "n"])
+
+
+def _lexicon(partial: DataFrame, subjects: int, rate: float, floor: int, least: float, lead: float) -> dict[str, tuple[int, float]]:
+    """Words that lean to one subject, from partial counts (lang, w, k, n); the word '' carries the totals."""
+    counted = partial.groupBy("lang", "w", "k").agg(F.sum("n").alias("n")).where("n >= 2 or w = ''").cache()
+    per = np.ones((len(_VOTERS), subjects))
+    for r in counted.where("w = ''").collect():  # languages x subjects rows
+        per[r["lang"], r["k"]] += r["n"]
+    count = max(floor, math.ceil(per.sum() * rate))
+    rows = counted.where((F.col("w") != "") & (F.col("n") >= max(2, count // 20))).toPandas()  # at most 20 x words / rate rows
+    counted.unpersist()
+    table_: dict[tuple, np.ndarray] = {}
+    for lang, w, k, n in zip(rows["lang"], rows["w"], rows["k"], rows["n"]):
+        table_.setdefault((lang, w), np.zeros(subjects))[k] += n
+    out: dict[str, tuple[int, float]] = {}
+    best: dict[str, float] = {}
+    for (lang, w), n in table_.items():
+        r = (n + 0.05) / (per[lang] + 1)
+        k = int(r.argmax())
+        share = r[k] / r.sum()
+        if n[k] >= count and share >= least and r[k] >= lead * np.delete(r, k).max(initial=0) and n[k] > best.get(w, 0):
+            out[w], best[w] = (k, float(min(1.0, 0.6 + share / 2))), n[k]
+    return out
+
+
 def seed_lexicon(docs: DataFrame, labels: DataFrame, names: list[str], most_labels: int, key: str) -> tuple[dict[str, tuple[int, float]], dict[str, int]]:
     """Words and traditions that lean to one subject in the labelled sample."""
     number = {s: i for i, s in enumerate(names)}
     sample = labels.select(key, "subject").where(F.col("subject").isin(names)).distinct().orderBy(F.xxhash64(key), key, "subject").limit(most_labels)
-    w = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]{3,}"), F.lit(0)))
-    given = docs.select(key, w.alias("w"), slug(F.col("tradition")).alias("tradition")).join(F.broadcast(sample), key)  # most_labels rows
-    rows = given.select("subject", F.explode("w").alias("w")).groupBy("w", "subject").agg(F.count("*").alias("n")).where("n >= 2").toPandas()
-    trad = given.where("tradition is not null").groupBy("tradition", "subject").agg(F.count("*").alias("n")).toPandas()
-    size = given.groupBy("subject").agg(F.count("*").alias("n")).toPandas()
-    if not len(rows):
-        return {}, {}
-    per = np.ones(len(names))
-    for s, n in zip(size["subject"], size["n"]):
-        per[number[s]] += n
-    table_: dict[str, np.ndarray] = {}
-    for word, s, n in zip(rows["w"], rows["subject"], rows["n"]):
-        table_.setdefault(word, np.zeros(len(names)))[number[s]] += n
-    return _leaning(table_, per, 0.55, 3), {t: number[g.loc[g["n"].idxmax(), "subject"]] for t, g in trad.groupby("tradition") if g["n"].max() >= 0.5 * g["n"].sum()}
-
-
-def _leaning(table_: dict[str, np.ndarray], per: np.ndarray, least: float, count: float) -> dict[str, tuple[int, float]]:
-    out = {}
-    for w, n in table_.items():
-        n = n[: len(per)]
-        r = (n + 0.02) / per
-        k = int(r.argmax())
-        share = r[k] / r.sum()
-        if n[k] >= count and share >= least:
-            out[w] = (k, float(min(1.0, 0.5 + share / 2)))
-    return out
+    one = sample.groupBy(key).agg(F.collect_set("subject").alias("labels"))
+    given = docs.select(key, "text", slug(F.col("tradition")).alias("tradition")).join(F.broadcast(one), key)  # at most most_labels rows
+    n = len(names)
+
+    def count(batches):
+        c = _Counts(n)
+        for pdf in batches:
+            for text, given_ in zip(pdf["text"], pdf["labels"]):
+                c.add(set(WORD.findall(text.lower())), [number[x] for x in given_])
+        yield c.frame(last=True)
+
+    lexicon = _lexicon(given.mapInPandas(count, "lang int, w string, k int, n long"), n, 0.0, 3, 0.28, 1.7)
+    trad = given.where("tradition is not null").select("tradition", F.explode("labels").alias("subject")).groupBy("tradition", "subject").agg(F.count("*").alias("n")).toPandas()
+    leading = {t: number[g.loc[g["n"].idxmax(), "subject"]] for t, g in trad.groupby("tradition") if g["n"].max() >= 0.5 * g["n"].sum()}
+    return lexicon, leading
 
 
 def recount(docs: DataFrame, lexicon: dict, subjects: int, rate: float, key: str) -> dict[str, tuple[int, float]]:
     """A lexicon counted over all paragraphs whose known words agree on one subject."""
 
     def count(batches):
-        votes = Votes(lexicon, {}, subjects)
-        held: dict[str, list[int]] = {}
-        totals = [0] * (subjects + 1)
-
-        def rows():
-            out = pd.DataFrame([(w, k, n) for w, ns in held.items() for k, n in enumerate(ns) if n], columns=["w", "k", "n"])
-            held.clear()
-            return out
-
+        votes, c = Votes(lexicon, {}, subjects), _Counts(subjects)
         for pdf in batches:
             for text in pdf["text"]:
                 for p in paragraphs(text):
-                    h = votes.hits(p)
-                    k = Votes._best(h, 1.8, 3.0)
-                    if k < 0:
-                        if h.sum() > 0.5:
-                            continue
-                        k = subjects
-                    totals[k] += 1
-                    for w in set(WORD.findall(p.lower())):
-                        if len(w) > 2:
-                            held.setdefault(w, [0] * (subjects + 1))[k] += 1
-            if len(held) > 300_000:
-                yield rows()
-        yield rows()
-        yield pd.DataFrame([("", k, n) for k, n in enumerate(totals)], columns=["w", "k", "n"])
-
-    # only words found more than once in a task's rows leave it in the end; the rest are below the rate anyway after the sum
-    counted = docs.select("text").mapInPandas(count, "w string, k int, n long").groupBy("w", "k").agg(F.sum("n").alias("n")).where("n >= 2").cache()
-    per_rows = {r["k"]: r["n"] for r in counted.where("w = ''").collect()}
-    total = sum(per_rows.values())
-    least = max(2, math.ceil(total * rate))
-    rows_ = counted.where((F.col("w") != "") & (F.col("n") >= least)).toPandas()  # at most (words a paragraph) / rate rows
-    counted.unpersist()
-    per = np.array([per_rows.get(k, 0) + 1.0 for k in range(subjects + 1)])
-    table_: dict[str, np.ndarray] = {}
-    for w, k, n in zip(rows_["w"], rows_["k"], rows_["n"]):
-        table_.setdefault(w, np.zeros(subjects + 1))[k] += n
-    out = {}
-    for w, n in table_.items():
-        r = (n + 0.05) / per
-        k = int(r.argmax())
-        share = r[k] / r.sum()
-        if k < subjects and share >= 0.6 and n[k] >= least:
-            out[w] = (k, float(min(1.0, 0.4 + 0.6 * share)))
-    return out
+                    k = Votes._best(votes.hits(p), 1.6, 2.5)
+                    if k >= 0:
+                        c.add(set(WORD.findall(p.lower())), [k])
+            if len(c.held) > 300_000:
+                yield c.frame()
+        yield c.frame(last=True)
+
+    return _lexicon(docs.select("text").mapInPandas(count, "lang int, w string, k int, n long"), subjects, rate, 6, 0.5, 2.0)
 
 
 def paragraph_votes(docs: DataFrame, votes: Votes, key: str) -> DataFrame:
@@ -215,7 +227,7 @@ def paragraph_votes(docs: DataFrame, votes: Votes, key: str) -> DataFrame:
     return docs.mapInPandas(vote, f"`{key}` {kind}, votes array<int>, n int")
 
 
-def document_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, key: str = "doc_id", share: float = 0.25, most_labels: int = 20_000, rate: float = 1 / 20_000, rounds: int = 2) -> DataFrame:
+def document_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, key: str = "doc_id", share: float = 0.25, most_labels: int = 20_000, rate: float = 1 / 10_000, rounds: int = 2) -> DataFrame:
     """(key, subject, share): subjects with at least a ``share`` of the document's paragraphs, and that share."""
     spark = docs.sparkSession
     names = sorted(r["subject"] for r in subjects.select("subject").where("subject is not null").distinct().collect())
