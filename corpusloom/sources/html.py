@@ -169,4 +169,4 @@ def url_to_id(tradition: Column, url: Column) -> Column:
 def headings_fast(html: Column) -> Column:
     """Headings of well-formed pages without inner tags, in the JVM."""
     found = F.regexp_extract_all(html, F.lit(r"(?is)<h[1-3][^>]*>([^<]*)</h[1-3]>"), F.lit(1))
-    return F.filter(F.transform(found, F.trim), lambda x: x != "")
+    return F.filter(F.transform(found, lambda x: F.trim(x)), lambda x: x != "")
