@@ -41,6 +41,8 @@ HYPHENS = "-‐¬\xad‑–"
 PAGE = re.compile(r"^\s*(?:(?:page|p\.|pag\.|pg\.|seite|s\.)\s*)?[\[({*.~|—–-]*\s*(?:\d{1,4}|[ivxlcdm]{1,8})\s*[\])}*.~|—–-]*\s*$|^\s*(?:Page|PAGE|P\.)\s*[\dIVXLCDMlOo]{1,8}[.\])]*\s*$")
 CHAPTER = re.compile(r"^\s*(?:chapter|section|part|kapitel|chapitre|capitolo|cap[ií]tulo|caput)\s+[\divxlcdm]+\b", re.I)
 PART = re.compile(r"^\s*(?:\d{1,4}\s{1,})?(?:BOOK|B00K|BO0K|B0OK|Book)\s+[IVXLCDM1l|]+\s*[.,:]\s*\S", re.U)
+#: A row of a table inside a text: its cells are no words.
+ROW = re.compile(r";[^;\s]+;|\s\|\s.*\s\|\s|\t\S*\t|\S {3,}\S+ {3,}\S|^\s*[-|+:]{3,}\s*$")
 _EDGE_L, _EDGE_R = "\"'“‘(¿¡[«*", ".,;:!?\"'”’)]»*"
 
 
@@ -172,11 +174,13 @@ class Lexicon:
     def _lookup(self, core: str, low: str, n: int) -> list[str] | None:
         letters = sum(ch.isalpha() for ch in core)
         if not letters:
-            return None
+            return ["a"] if core == "@" and "a" in self.words else None
         marked = any(ch in NOISE or ch.isdigit() or ch in "!ſ" for ch in core.rstrip("!"))
         capital = core[0].isupper() or (marked and not core[0].isalpha())
         if n:  # a known but rare word: only if it is a confusion of a far more frequent one
-            found = [(w, self.words[w]) for w in unread(low) if self.words.get(w, 0) >= 200 * n]
+            if core[0].isupper() and self.is_name(low):
+                return None
+            found = [(w, self.words[w]) for w in unread(low) if self.words.get(w, 0) >= 300 * n]
             return [w for w, _ in sorted(found, key=lambda x: -x[1])[:3]] or None
         if capital and not marked:
             if self.is_name(low):
@@ -322,7 +326,7 @@ class Page:
             tokens[body[at + 1]] = nxt[1:]
         before = ""
         for i in body:
-            if CHAPTER.match(self.lines[i]):
+            if CHAPTER.match(self.lines[i]) or ROW.search(self.lines[i]):
                 continue
             row, j = tokens[i], 0
             while j < len(row):
