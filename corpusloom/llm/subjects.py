@@ -45,38 +45,48 @@ class Votes:
     def __init__(self, lexicon: dict[str, tuple[int, float]], traditions: dict[str, int], n: int) -> None:
         self.lexicon, self.traditions, self.n = lexicon, traditions, n
 
-    def hits(self, text: str) -> np.ndarray:
-        h = np.zeros(self.n)
-        lex = self.lexicon
-        for w in WORD.findall(text.lower()):
-            if w in lex:
-                k, weight = lex[w]
-                h[k] += weight
+    def hits(self, ws: list[str]) -> dict[int, float]:
+        h: dict[int, float] = {}
+        get = self.lexicon.get
+        for w in ws:
+            e = get(w)
+            if e is not None:
+                h[e[0]] = h.get(e[0], 0.0) + e[1]
         return h
 
     @staticmethod
-    def _best(h: np.ndarray, least: float, lead: float) -> int:
-        k = int(h.argmax())
-        rest = h.sum() - h[k]
-        return k if h[k] >= least and h[k] >= lead * rest and h[k] > 0 else -1
+    def _best(h: dict[int, float], least: float, lead: float) -> int:
+        if not h:
+            return -1
+        k = min(h, key=lambda x: (-h[x], x))
+        return k if h[k] >= least and h[k] >= lead * (sum(h.values()) - h[k]) else -1
 
     def document(self, text: str, title: str | None, tradition: str | None) -> list[tuple[int, ...]]:
         none = self.n
-        paras = paragraphs(text)
-        h = [self.hits(p) for p in paras]
-        about = self._best(self.hits(title), 0.5, 1.01) if title else -1
+        low = text.lower()
+        by_sentence = [[self.hits(WORD.findall(s)) for s in _STOP.split(p) if s.strip()] for p in paragraphs(low)]
+        h: list[dict[int, float]] = []
+        for parts in by_sentence:
+            whole: dict[int, float] = {}
+            for x in parts:
+                for k, v in x.items():
+                    whole[k] = whole.get(k, 0.0) + v
+            h.append(whole)
+        about = self._best(self.hits(WORD.findall(title.lower())), 0.5, 1.01) if title else -1
         school = self.traditions.get(tradition or "", -1)
-        first = [self._best(x, 0.8, 1.01) if x.sum() >= 0.4 else none for x in h]
+        first = [self._best(x, 0.8, 1.01) if sum(x.values()) >= 0.4 else none for x in h]
         out = []
-        for i, p in enumerate(paras):
-            sentences = _STOP.split(p)
-            tops = [self._best(self.hits(s), 0.5, 1.01) for s in sentences if s.strip()]
-            named = Counter(t for t in tops if t >= 0)
-            lead = named.most_common(1)[0] if named else (-1, 0)
-            by_sentence = lead[0] if lead[1] * 2 >= len(tops) else (none if sum(named.values()) * 4 <= len(tops) else -1)
-            around = Counter(first[j] for j in (i - 1, i + 1) if 0 <= j < len(first) and first[j] >= 0)
-            section = around.most_common(1)[0][0] if len(around) == 1 else -1
-            out.append((first[i], by_sentence, self._best(h[i], 2.4, 2.0), about, section, school))
+        for i, parts in enumerate(by_sentence):
+            named: dict[int, int] = {}
+            for x in parts:
+                t = self._best(x, 0.5, 1.01)
+                if t >= 0:
+                    named[t] = named.get(t, 0) + 1
+            lead = min(named, key=lambda k: (-named[k], k)) if named else -1
+            told = lead if named and named[lead] * 2 >= len(parts) else (none if sum(named.values()) * 4 <= len(parts) else -1)
+            around = {first[j] for j in (i - 1, i + 1) if 0 <= j < len(first) and first[j] >= 0}
+            section = around.pop() if len(around) == 1 else -1
+            out.append((first[i], told, self._best(h[i], 2.4, 2.0), about, section, school))
         return out
 
 
@@ -127,23 +137,23 @@ def _language(ws: set[str]) -> int:
 
 
 class _Counts:
-    """(language, word) -> counts by subject, emptied into a frame before it grows large."""
+    """(language, subject) -> counts of words, emptied into a frame before they grow large."""
 
     def __init__(self, subjects: int) -> None:
-        self.subjects, self.held, self.totals = subjects, {}, np.zeros((len(_VOTERS), subjects), np.int64)
+        self.held: dict[tuple[int, int], Counter] = {}
+        self.totals = np.zeros((len(_VOTERS), subjects), np.int64)
 
     def add(self, ws: set[str], ks: list[int]) -> None:
         lang = _language(ws)
         for k in ks:
             self.totals[lang, k] += 1
-        for w in ws:
-            if len(w) > 2:
-                row = self.held.setdefault((lang, w), [0] * self.subjects)
-                for k in ks:
-                    row[k] += 1
+            self.held.setdefault((lang, k), Counter()).update(ws)
+
+    def size(self) -> int:
+        return sum(map(len, self.held.values()))
 
     def frame(self, last: bool = False) -> pd.DataFrame:
-        rows = [(lang, w, k, n) for (lang, w), ns in self.held.items() for k, n in enumerate(ns) if n]
+        rows = [(lang, w, k, n) for (lang, k), ns in self.held.items() for w, n in ns.items() if len(w) > 2]
         self.held = {}
         if last:
             rows += [(lang, "", k, int(n)) for (lang, k), n in np.ndenumerate(self.totals) if n]
@@ -201,11 +211,12 @@ def recount(docs: DataFrame, lexicon: dict, subjects: int, rate: float, key: str
         votes, c = Votes(lexicon, {}, subjects), _Counts(subjects)
         for pdf in batches:
             for text in pdf["text"]:
-                for p in paragraphs(text):
-                    k = Votes._best(votes.hits(p), 1.6, 2.5)
+                for p in paragraphs(text.lower()):
+                    ws = WORD.findall(p)
+                    k = Votes._best(votes.hits(ws), 1.6, 2.5)
                     if k >= 0:
-                        c.add(set(WORD.findall(p.lower())), [k])
-            if len(c.held) > 300_000:
+                        c.add(set(ws), [k])
+            if c.size() > 400_000:
                 yield c.frame()
         yield c.frame(last=True)
 
