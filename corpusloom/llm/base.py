@@ -63,13 +63,13 @@ def spread(df: DataFrame, key: str, least: int | None = None) -> DataFrame:
 
 #: Language names as the tables spell them, by code.
 LANGUAGE_NAMES = {
-    "en": ("en", "eng", "english"),
-    "la": ("la", "lat", "latin"),
-    "de": ("de", "deu", "ger", "german", "deutsch"),
-    "fr": ("fr", "fra", "fre", "french"),
-    "it": ("it", "ita", "italian", "italiano"),
-    "es": ("es", "spa", "spanish", "espanol", "español"),
-    "nl": ("nl", "nld", "dut", "dutch"),
+    "en": ("en", "eng", "english", "englisch", "anglais", "ingles", "inglés", "inglese"),
+    "la": ("la", "lat", "latin", "latina", "latein", "lateinisch", "latino"),
+    "de": ("de", "deu", "ger", "german", "deutsch", "allemand", "tedesco"),
+    "fr": ("fr", "fra", "fre", "french", "francais", "français", "französisch"),
+    "it": ("it", "ita", "italian", "italiano", "italienisch", "italien"),
+    "es": ("es", "spa", "spanish", "espanol", "español", "castellano", "espagnol", "spanisch"),
+    "nl": ("nl", "nld", "dut", "dutch", "nederlands"),
 }
 LANGUAGES = ("en", "la", "de", "fr", "it", "es")
 
