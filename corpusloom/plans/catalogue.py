@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
-from corpusloom.functions.titles import fuzzy_title_links, indel_ratio
+from corpusloom.functions.titles import indel_ratio
 from corpusloom.functions.vectors import norm
 from corpusloom.operators import chunking, dedup, density, embedding, export, gates, manifest, projection, similarity, topics, versions
 from corpusloom.plans import pipeline
 from corpusloom.session import table
 from corpusloom.sources import crawl, html
+from corpusloom.streaming import incremental
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -567,7 +568,18 @@ def ocr_choice(spark, d):
     return c.select("id", F.length(text).alias("chars"), used.alias("ocr_used"))
 
 
-@register()
-def fuzzy_titles(spark, d):
-    """How many other records have a title like each record's, at 0.85."""
-    return fuzzy_title_links(_one(spark, d).select("id", "title"), "id")
+# ---- streams --------------------------------------------------------------------------------------------------------------------------
+
+
+@register("SELECT (floor(epoch(loaded_at) / 2592000) * 2592000)::BIGINT AS start_s, file_type, count(*)::BIGINT AS n FROM corpus WHERE loaded_at IS NOT NULL GROUP BY ALL")
+def stream_arrivals(spark, d):
+    """Arrivals per 30 days and file type, counted by a stream over all files that are there; late rows count."""
+    import uuid
+
+    # a pattern, as a stream's path may not be a single file
+    rows = incremental.stream_parquet(spark, f"{d}/corpus.parque[t]", table(spark, d, "corpus").schema)
+    name = f"arrivals_{uuid.uuid4().hex}"
+    counted = incremental.arrivals(rows, "loaded_at", "file_type", window="30 days")
+    query = counted.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.table(name).select(F.col("start").cast("long").alias("start_s"), "file_type", "n")
