@@ -61,6 +61,14 @@ def spread(df: DataFrame, key: str, least: int | None = None) -> DataFrame:
     return df.repartition(least or parallelism(df.sparkSession), key)
 
 
+def balanced(df: DataFrame, key: str) -> DataFrame:
+    """A scan (a plan without a shuffle) as it is if it has enough partitions for all cores, else spread by key.
+
+    Large tables come in many splits and need no shuffle; a small table may come in one."""
+    given = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if given >= df.sparkSession.sparkContext.defaultParallelism else df.repartition(parallelism(df.sparkSession), key)
+
+
 #: Language names as the tables spell them, by code.
 LANGUAGE_NAMES = {
     "en": ("en", "eng", "english", "englisch", "anglais", "ingles", "inglés", "inglese"),

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.base import not_blank, parallelism, words
+from corpusloom.llm.base import balanced, not_blank, words
 from corpusloom.llm.neardup import Hasher, _mix
 
 #: Up to so many rows a side of a join is sent to all executors (24 bytes a row).
@@ -94,9 +94,8 @@ def leaked_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: s
     if not 0 < gram <= least:
         raise ValueError("gram must lie between 1 and least")
     window = least - gram + 1
-    spark = docs.sparkSession
     of_items = fingerprints(items.dropDuplicates([item]).repartition(4, item), item, gram, window).distinct().cache()
-    wide = docs.select(key, "text").repartition(parallelism(spark), key)
+    wide = balanced(docs.select(key, "text"), key)
     of_docs = fingerprints(wide, key, gram, window)
     hits = of_docs.join(_small(of_docs, of_items), "h").select(key, item).distinct().cache()
     probe = _small(docs, hits)
