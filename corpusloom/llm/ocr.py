@@ -276,7 +276,7 @@ def furniture(lines: list[str], title: str | None) -> dict[int, str]:
         elif len(s) >= 6 and not x.endswith((".", ",", ";", "?", *HYPHENS)) and (repeated[s] >= 2 or re.search(r"^\d{1,4}\s{3,}\S|\S\s{3,}\d{1,4}$", x)):
             near_page = any(j in out for j in (i - 1, i + 1, i - 2, i + 2)) or i == 0 or re.search(r"^\d{1,4}\s{3,}\S|\S\s{3,}\d{1,4}$", x)
             titled = sum(w[:1].isupper() for w in x.split() if w[:1].isalpha()) >= 0.5 * sum(w[:1].isalpha() for w in x.split())
-            if near_page and titled:
+            if near_page and titled and not ROW.search(x):
                 out[i] = "header"
     return out
 
