@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.base import WORD, materialise, not_blank, parallelism, slug
+from corpusloom.llm.base import WORD, balanced, materialise, not_blank, slug
 from corpusloom.llm.language import VOTES
 
 _BLANK = re.compile(r"\n[^\S\n]*\n\s*")
@@ -248,7 +248,7 @@ def document_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, k
     lexicon, traditions = seed_lexicon(rows, labels, names, most_labels, key)
     if not lexicon:
         return empty
-    wide = rows.withColumn("tradition", slug(F.col("tradition"))).repartition(parallelism(spark), key)
+    wide = balanced(rows.withColumn("tradition", slug(F.col("tradition"))), key)
     for _ in range(rounds):
         lexicon = recount(wide, lexicon, len(names), rate, key) or lexicon
     voted = materialise(paragraph_votes(wide, Votes(lexicon, traditions, len(names)), key))
