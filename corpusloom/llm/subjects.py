@@ -128,6 +128,7 @@ def fit_votes(patterns: np.ndarray, counts: np.ndarray, subjects: int, iteration
 
 
 _VOTERS = [frozenset(v.split()) for v in VOTES.values()]
+_FUNCTION_WORDS = frozenset().union(*_VOTERS)
 
 
 def _language(ws: set[str]) -> int:
@@ -175,6 +176,8 @@ def _lexicon(partial: DataFrame, subjects: int, rate: float, floor: int, least:
     out: dict[str, tuple[int, float]] = {}
     best: dict[str, float] = {}
     for (lang, w), n in table_.items():
+        if w in _FUNCTION_WORDS:
+            continue
         r = (n + 0.05) / (per[lang] + 1)
         k = int(r.argmax())
         share = r[k] / r.sum()
