@@ -443,18 +443,20 @@ def truncated_tokens(spark, d):
 
 
 
-def _topic_sql() -> str:
+def _topic_sql() -> str | None:
     import os
+    import zipfile
 
     import pyspark
 
     # the stop words are those of the installed library, so that the SQL can be built without a session
-    import zipfile
-
-    jars = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-    jar = next(x for x in os.listdir(jars) if x.startswith("spark-mllib_"))
-    with zipfile.ZipFile(os.path.join(jars, jar)) as z:
-        words = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split("\n")
+    try:
+        jars = os.path.join(os.path.dirname(pyspark.__file__), "jars")
+        jar = next(x for x in os.listdir(jars) if x.startswith("spark-mllib_"))
+        with zipfile.ZipFile(os.path.join(jars, jar)) as z:
+            words = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split("\n")
+    except (OSError, StopIteration, KeyError):
+        return None
     stop = ", ".join("'" + w.strip().replace("'", "''") + "'" for w in words if w.strip())
     return rf"""
         WITH m AS (SELECT cluster, text FROM metadata WHERE cluster IS NOT NULL AND cluster <> -1),
