@@ -20,9 +20,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.base import distinct_texts, materialise, spread, words
+from corpusloom.llm.base import distinct_texts, materialise, parallelism, spread, words
 
 BITS = 1024
+#: Up to so many class hashes (8 bytes each) are sent to all executors.
+BROADCAST_ROWS = 1_000_000
 
 
 def banding(threshold: float, miss: float = 2e-4) -> tuple[int, int]:
@@ -68,14 +70,16 @@ class Hasher:
 
 
 def signatures(texts: DataFrame, key: str, shingle: int, rows: int, bands: int) -> DataFrame:
-    """(key, class_hash, n, shingles, bands, sketch) of every text with at least one shingle."""
+    """(key, class_hash, n, shingles, bands, sketch) of every text with at least one shingle.
+
+    A class that a task has met before comes without its arrays, so copies are combined before any shuffle."""
     k = rows * bands
     rng = np.random.default_rng(20240229)
     a = (rng.integers(1, 2**32, k, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
     b = rng.integers(0, 2**32, k, dtype=np.uint64).astype(np.uint32)
 
     def sign(batches):
-        hasher = Hasher()
+        hasher, met = Hasher(), set()
         seat = _mix(np.arange(k, dtype=np.uint64) + np.uint64(1))
         for pdf in batches:
             out = []
@@ -83,6 +87,13 @@ def signatures(texts: DataFrame, key: str, shingle: int, rows: int, bands: int)
                 s = hasher.shingles(words(text), shingle)
                 if not len(s):
                     continue
+                with np.errstate(over="ignore"):
+                    whole = int(_mix(np.add.reduce(_mix(s), dtype=np.uint64) + np.uint64(len(s))).astype(np.int64))
+                if whole in met:
+                    out.append((ident, whole, len(s), None, None, None))
+                    continue
+                if len(met) < 2_000_000:
+                    met.add(whole)
                 x = (s ^ (s >> np.uint64(32))).astype(np.uint32)
                 mins = np.full(k, 0xFFFFFFFF, np.uint32)
                 for at in range(0, len(x), 4096):  # long texts in steps of bounded memory
@@ -93,10 +104,9 @@ def signatures(texts: DataFrame, key: str, shingle: int, rows: int, bands: int)
                     for r in range(rows):
                         band = _mix(band * np.uint64(31) + m[:, r] + np.uint64(7))
                     bit = _mix(mins.astype(np.uint64) + seat) % np.uint64(BITS)
-                    whole = _mix(np.add.reduce(_mix(s), dtype=np.uint64) + np.uint64(len(s)))
                 parity = np.bincount(bit.astype(np.int64), minlength=BITS) & 1
                 sketch = np.packbits(parity.astype(np.uint8)).view(np.int64)
-                out.append((ident, int(whole.astype(np.int64)), len(s), s.view(np.int64), band.view(np.int64), sketch))
+                out.append((ident, whole, len(s), s.view(np.int64), band.view(np.int64), sketch))
             yield pd.DataFrame(out, columns=[key, "class_hash", "n", "shingles", "bands", "sketch"])
 
     kind = texts.schema[key].dataType.simpleString()
@@ -106,19 +116,26 @@ def signatures(texts: DataFrame, key: str, shingle: int, rows: int, bands: int)
 def similar_classes(classes: DataFrame, threshold: float, k: int, margin: float = 0.15) -> DataFrame:
     """(class_a, class_b, similarity) of all pairs of different classes that reach the threshold; class_a < class_b."""
     slots = classes.select("class_hash", F.posexplode("bands").alias("band", "h")).select(F.xxhash64("band", "h").alias("bucket"), "class_hash")
-    # buckets of one class pair with nothing and leave before the join
+    # partitioned by bucket once: the distinct rows and the self-join both keep that partitioning
+    slots = slots.repartition(parallelism(classes.sparkSession), "bucket").distinct()
     pairs = slots.alias("x").join(slots.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.class_hash") < F.col("y.class_hash")))
-    pairs = pairs.select(F.col("x.class_hash").alias("class_a"), F.col("y.class_hash").alias("class_b")).distinct()
-    side = lambda s: classes.select(F.col("class_hash").alias(f"class_{s}"), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"), F.col("shingles").alias(f"shingles_{s}"))
-    both = pairs.join(side("a"), "class_a").join(side("b"), "class_b")
+    pairs = materialise(pairs.select(F.col("x.class_hash").alias("class_a"), F.col("y.class_hash").alias("class_b")).distinct())
+    side = lambda df, s, *cols: df.select(F.col("class_hash").alias(f"class_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in cols])
+    # first the sketches of all candidates, then the shingles of those that pass
+    light = classes.select("class_hash", "n", "sketch").dropDuplicates(["class_hash"])
+    told = pairs.join(side(light, "a", "n", "sketch"), "class_a").join(side(light, "b", "n", "sketch"), "class_b")
     # of two sets that differ in d samples, a share p = (1 - exp(-2 d / BITS)) / 2 of the bits differ; d = 2 k (1 - J)
     differ = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
     bits = BITS * (1 - math.exp(-4 * k * (1 - max(0.0, threshold - margin)) / BITS)) / 2
-    both = both.where(differ <= bits + 3 * math.sqrt(BITS) / 2)
     least = F.least("n_a", "n_b") / F.greatest("n_a", "n_b")
+    likely = materialise(told.where((differ <= bits + 3 * math.sqrt(BITS) / 2) & (least >= threshold)).select("class_a", "class_b"))
+    ends = likely.select(F.col("class_a").alias("class_hash")).unionByName(likely.select(F.col("class_b").alias("class_hash"))).distinct().cache()
+    few = F.broadcast(ends) if ends.count() <= BROADCAST_ROWS else ends
+    heavy = classes.select("class_hash", "shingles").join(few, "class_hash", "left_semi").dropDuplicates(["class_hash"])
+    both = likely.join(side(heavy, "a", "shingles"), "class_a").join(side(heavy, "b", "shingles"), "class_b")
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    sim = (common / (F.col("n_a") + F.col("n_b") - common)).alias("similarity")
-    return both.where(least >= threshold).select("class_a", "class_b", sim).where(F.col("similarity") >= threshold)
+    sim = (common / (F.size("shingles_a") + F.size("shingles_b") - common)).alias("similarity")
+    return both.select("class_a", "class_b", sim).where(F.col("similarity") >= threshold)
 
 
 class NearDuplicates:
@@ -129,7 +146,7 @@ class NearDuplicates:
         rows, bands = banding(threshold)
         signed = materialise(signatures(distinct_texts(records, key, "text"), key, shingle, rows, bands))
         self.members = signed.select(key, "class_hash")
-        self.classes = signed.dropDuplicates(["class_hash"]).drop(key)
+        self.classes = signed.where("bands is not null").drop(key)
         self.links = materialise(similar_classes(self.classes, threshold, rows * bands))
 
     def pairs(self) -> DataFrame:
