@@ -226,17 +226,38 @@ def markov_clusters(edges: DataFrame, inflation: float = 2.0, prune: float = 1e-
     return out
 
 
+def _degrees(x: np.ndarray, cosine: float, block: int = 1024) -> np.ndarray:
+    """How many rows of unit vectors each is similar to, itself included; blocks bound the memory.
+
+    Rows within half the angle of the mean are similar to each other, so only the others are compared with all."""
+    mean = x.mean(0)
+    norm = np.linalg.norm(mean)
+    core = x @ (mean / norm) >= math.cos(math.acos(min(1.0, cosine)) / 2) if norm > 0 else np.zeros(len(x), bool)
+    out = np.flatnonzero(~core)
+    deg = np.where(core, core.sum(), 0)
+    for a in range(0, len(out), block):
+        ok = x[out[a : a + block]] @ x.T >= cosine - 1e-6
+        deg[out[a : a + block]] = ok.sum(1)
+        deg[core] += ok[:, core].sum(0)
+    return deg
+
+
 def _cliques(x: np.ndarray, cosine: float) -> np.ndarray:
-    """Which rows of unit vectors remain so that every two are similar: the least connected leaves first."""
-    ok = x @ x.T >= cosine - 1e-6
+    """Which rows of unit vectors remain so that every two are similar: the least connected leaves first.
+
+    One rule for any size: a row that leaves is compared with all, and no matrix of all pairs is held."""
     keep = np.ones(len(x), bool)
-    while True:
-        deg = ok[:, keep].sum(1)
-        deg[~keep] = 1 << 30
+    deg = _degrees(x, cosine)
+    left = len(x)
+    while left:
         worst = int(deg.argmin())
-        if deg[worst] >= keep.sum():
-            return keep
+        if deg[worst] >= left:
+            break
         keep[worst] = False
+        left -= 1
+        deg -= x @ x[worst] >= cosine - 1e-6
+        deg[worst] = 1 << 40
+    return keep
 
 
 class VectorClusters:
@@ -255,7 +276,7 @@ class VectorClusters:
         big = members.groupBy("cluster").agg(F.count("*").alias("n")).where(F.col("n") >= least)
         self.members = members.join(big, "cluster")
 
-    def checked(self, block: int = 20_000) -> DataFrame:
+    def checked(self) -> DataFrame:
         """(key, cluster, size, flow) after the check on the vectors; the others are noise."""
         key, cosine, least = self.key, self.cosine, self.least
         rows = self.members.join(self.units.select(key, "v"), key).select("cluster", key, "node", "flow", "v")
@@ -263,12 +284,7 @@ class VectorClusters:
         def check(batches):
             for pdf in iter_groups(batches, "cluster"):
                 first = pdf.drop_duplicates("node")  # equal vectors are checked once
-                if len(first) > block:  # too many for one matrix: all within half the angle of their mean are similar to each other
-                    x = np.stack(first["v"].to_numpy()).astype(np.float32)
-                    mean = x.mean(0)
-                    good = x @ (mean / np.linalg.norm(mean)) >= math.cos(math.acos(cosine) / 2)
-                else:
-                    good = _cliques(np.stack(first["v"].to_numpy()).astype(np.float64), cosine)
+                good = _cliques(np.stack(first["v"].to_numpy()).astype(np.float64), cosine)
                 part = pdf[pdf["node"].isin(set(first["node"][good]))]
                 if len(part) >= least:
                     yield part[[key, "cluster", "flow"]].assign(size=len(part))

@@ -328,6 +328,21 @@ def test_clusters(spark):
     assert mcl.VectorClusters(df.limit(0)).pairs().count() == 0
 
 
+def test_large_clusters_follow_the_same_rule():
+    rng = np.random.default_rng(8)
+    x = 3.5 * np.eye(64)[0] + rng.standard_normal((20_100, 64)) * 0.125  # members are about 0.96 of the mean, pairs about 0.92
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ (x.mean(0) / np.linalg.norm(x.mean(0))) >= np.cos(np.arccos(0.85) / 2)
+    assert near.mean() < 0.6  # half the angle of the mean would drop the others
+    assert mcl._cliques(x, 0.85).mean() > 0.99
+    some = np.concatenate([x[:300], rng.standard_normal((40, 64)) / 8])
+    some /= np.linalg.norm(some, axis=1, keepdims=True)
+    ok = some @ some.T >= 0.85 - 1e-6
+    assert (mcl._degrees(some, 0.85, block=7) == ok.sum(1)).all()
+    keep = mcl._cliques(some, 0.85)
+    assert ok[np.ix_(keep, keep)].all() and not keep[300:].any()
+
+
 def test_block_and_sparse_agree(spark):
     rng = random.Random(3)
     edges = {}
