@@ -5,7 +5,7 @@ follows from the wanted recall; inside a bucket all cosines are computed block b
 links. Markov clustering alternates squaring of the column-stochastic flow matrix, inflation and pruning of small entries.
 The matrix is block-diagonal over the connected components of the graph, so components up to ``block`` nodes are squared as
 dense blocks, many per task; larger ones by joins of the sparse entries across the cluster. Attractor rows name the clusters.
-At last every cluster is checked against the vectors: of each, the members that are similar to all others remain.
+At last every cluster is checked against the vectors: it is divided into sets of members that are all similar to each other.
 
 Defined cases: null vectors, all-zero vectors and vectors of another length than most are noise; repeated rows of a chunk count
 once; chunks without a vector are noise; clusters with fewer than ``least`` chunks are noise; ties between attractors go to
@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from corpusloom.llm.base import iter_groups, materialise, parallelism
 from corpusloom.llm.components import components
 
+#: What the rounding of vectors to bytes may change in a cosine.
+SLACK = 0.015
+
 
 def tables_for(rows: int, cosine: float, recall: float = 0.8) -> tuple[int, int]:
     """(bits, tables): buckets hold about 16 unrelated vectors, and two vectors at ``cosine`` share one with at least ``recall``.
@@ -137,7 +140,7 @@ def similar_pairs(nodes: DataFrame, cosine: float, strongest: int = 40, block: i
             for a, b in zip(np.append(0, cuts).tolist(), np.append(cuts, len(codes)).tolist()):
                 if b - a < 2:
                     continue
-                i, j, s = strongest_links(x[a:b], cosine - 0.015, strongest, block)  # the slack covers the rounding to bytes
+                i, j, s = strongest_links(x[a:b], cosine - SLACK, strongest, block)
                 if len(i):
                     u, v = ids[a:b][i], ids[a:b][j]
                     src.append(np.minimum(u, v))
@@ -154,7 +157,19 @@ def similar_pairs(nodes: DataFrame, cosine: float, strongest: int = 40, block: i
     # as many tasks as hold some hundred thousand bucket rows each
     parts = max(parallelism(spark), math.ceil(n * tables / 400_000))
     found = spread_.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInPandas(links, "src long, dst long, w double")
-    return found.groupBy("src", "dst").agg(F.max("w").alias("w"))
+    found = found.groupBy("src", "dst").agg(F.max("w").alias("w"))
+    return exact_links(materialise(found), nodes, cosine)
+
+
+def exact_links(found: DataFrame, nodes: DataFrame, cosine: float, slack: float = SLACK) -> DataFrame:
+    """``found`` without links of less than ``cosine``: those that the rounding leaves in doubt are looked up in the vectors."""
+    unsure = found.where(F.col("w") < cosine + slack)
+    if unsure.isEmpty():
+        return found
+    a, b = nodes.select(F.col("node").alias("src"), F.col("v").alias("a")), nodes.select(F.col("node").alias("dst"), F.col("v").alias("b"))
+    dot = F.aggregate(F.zip_with("a", "b", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    told = unsure.join(a, "src").join(b, "dst").withColumn("w", dot).where(F.col("w") >= cosine - 1e-6).select(found.columns)
+    return materialise(found.where(F.col("w") >= cosine + slack).unionByName(told))
 
 
 def mcl_block(n: int, i: np.ndarray, j: np.ndarray, w: np.ndarray, inflation: float, prune: float, rounds: int = 60) -> tuple[np.ndarray, np.ndarray]:
@@ -260,6 +275,49 @@ def _cliques(x: np.ndarray, cosine: float) -> np.ndarray:
     return keep
 
 
+def _split(x: np.ndarray, cosine: float, least: int, weight: np.ndarray | None = None, block: int = 1024) -> np.ndarray:
+    """The number of its clique for each row of unit vectors, -1 for rows of none with ``least`` rows (each counts ``weight``).
+
+    The row similar to most of the rest is taken with all rows similar to it, the least connected of which leave; those that
+    are similar to all that stay come back. The rest is treated the same way. Rows with too few similar ones left are passed over."""
+    weight = np.ones(len(x), np.int64) if weight is None else weight
+    out = np.full(len(x), -1)
+    rest = np.arange(len(x))
+    deg = _degrees(x, cosine)
+    for number in range(len(x)):
+        while True:  # a row of a clique is similar to at least as many rows as the clique has
+            some = deg * weight.max(initial=1) >= least
+            if some.all():
+                break
+            gone = rest[~some]
+            rest, deg = rest[some], deg[some]
+            deg = deg - _similar(x, rest, gone, cosine, block)
+        if weight[rest].sum() < least:
+            break
+        near = rest[x[rest] @ x[rest[deg.argmax()]] >= cosine - 1e-6]
+        keep = _cliques(x[near], cosine)
+        clique, others = near[keep], near[~keep]
+        back = others[_similar(x, others, clique, cosine, block) == len(clique)]
+        if len(back):
+            clique = np.concatenate([clique, back[_cliques(x[back], cosine)]])
+        if weight[clique].sum() >= least:
+            out[clique] = number
+        else:  # its other rows may still belong to a larger one
+            clique = rest[[deg.argmax()]]
+        stay = ~np.isin(rest, clique)
+        rest, deg = rest[stay], deg[stay]
+        deg = deg - _similar(x, rest, clique, cosine, block)
+    return out
+
+
+def _similar(x: np.ndarray, rows: np.ndarray, among: np.ndarray, cosine: float, block: int) -> np.ndarray:
+    """How many of the rows ``among`` each of ``rows`` is similar to."""
+    n = np.zeros(len(rows), np.int64)
+    for a in range(0, len(among), block):
+        n += (x[rows] @ x[among[a : a + block]].T >= cosine - 1e-6).sum(1)
+    return n
+
+
 class VectorClusters:
     """Clusters of the keys of a vector table; ``least`` different keys at least, every two of them at ``cosine`` or more."""
 
@@ -267,7 +325,7 @@ class VectorClusters:
         self.key, self.cosine, self.least = key, cosine, least
         self.units = materialise(unit_vectors(vectors, key, vector))
         nodes = self.units.dropDuplicates(["node"]).select("node", "v")
-        edges = materialise(similar_pairs(nodes, cosine))
+        edges = similar_pairs(nodes, cosine)
         # a set of equal vectors is a cluster of its own if it has no other links
         alone = nodes.select("node").join(edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))), "node", "left_anti")
         # read twice below, by the sizes and by the members
@@ -284,10 +342,13 @@ class VectorClusters:
         def check(batches):
             for pdf in iter_groups(batches, "cluster"):
                 first = pdf.drop_duplicates("node")  # equal vectors are checked once
-                good = _cliques(np.stack(first["v"].to_numpy()).astype(np.float64), cosine)
-                part = pdf[pdf["node"].isin(set(first["node"][good]))]
-                if len(part) >= least:
-                    yield part[[key, "cluster", "flow"]].assign(size=len(part))
+                weight = pdf.groupby("node").size().reindex(first["node"]).to_numpy()
+                number = _split(np.stack(first["v"].to_numpy()).astype(np.float64), cosine, least, weight)
+                parts = pdf["node"].map(dict(zip(first["node"], number)))
+                for n in np.unique(number[number >= 0]):
+                    part = pdf[parts == n]
+                    name = part.sort_values(["flow", "node"], ascending=[False, True])["node"].iloc[0]
+                    yield part[[key, "flow"]].assign(cluster=name, size=len(part))[[key, "cluster", "flow", "size"]]
 
         kind = self.units.schema[key].dataType.simpleString()
         return rows.repartition(parallelism(rows.sparkSession), "cluster").sortWithinPartitions("cluster", key).mapInPandas(check, f"`{key}` {kind}, cluster long, flow double, size int")

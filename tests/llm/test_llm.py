@@ -343,6 +343,35 @@ def test_large_clusters_follow_the_same_rule():
     assert ok[np.ix_(keep, keep)].all() and not keep[300:].any()
 
 
+def neighbours(rng, cross, size=40, dims=64):
+    """Two clusters with pairs at about 0.93 inside; ``cross`` is about the cosine between them."""
+    q = np.linalg.qr(rng.standard_normal((dims, 2)))[0].T
+    turn = np.arccos(cross / 0.93)
+    centres = [q[0], np.cos(turn) * q[0] + np.sin(turn) * q[1]]
+    x = np.concatenate([c + rng.standard_normal((size, dims)) * np.sqrt((1 / 0.93 - 1) / dims) for c in centres])
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("cross", [0.82, 0.835, 0.84])
+def test_neighbouring_clusters_both_remain(cross):
+    for seed in range(5):
+        x = neighbours(np.random.default_rng(seed), cross)
+        ok = x @ x.T >= 0.85 - 1e-6
+        number = mcl._split(x, 0.85, 10)
+        assert all(ok[np.ix_(number == n, number == n)].all() for n in set(number) - {-1})
+        assert len(set(number) - {-1}) == 2 and (number >= 0).mean() > 0.95
+    assert (mcl._split(x[:9], 0.85, 10) == -1).all() and (mcl._split(x[:2], 0.85, 10, np.array([5, 5])) == 0).all()
+
+
+def test_links_are_exact(spark):
+    x = neighbours(np.random.default_rng(1), 0.835).astype(np.float32)
+    df = frame(spark, [(i, [float(y) for y in v]) for i, v in enumerate(x)], "node long, v array<float>")
+    got = [(r["src"], r["dst"]) for r in mcl.similar_pairs(df, 0.85).collect()]
+    assert got and all(x[a].astype(float) @ x[b].astype(float) >= 0.85 - 1e-6 for a, b in got)
+    found = mcl.VectorClusters(df.withColumnRenamed("node", "k"), "k", "v").checked().collect()
+    assert len({r["cluster"] for r in found}) == 2 and len(found) > 70
+
+
 def test_block_and_sparse_agree(spark):
     rng = random.Random(3)
     edges = {}
