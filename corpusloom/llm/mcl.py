@@ -5,7 +5,8 @@ follows from the wanted recall; inside a bucket all cosines are computed block b
 links. Markov clustering alternates squaring of the column-stochastic flow matrix, inflation and pruning of small entries.
 The matrix is block-diagonal over the connected components of the graph, so components up to ``block`` nodes are squared as
 dense blocks, many per task; larger ones by joins of the sparse entries across the cluster. Attractor rows name the clusters.
-At last every cluster is checked against the vectors: it is divided into sets of members that are all similar to each other.
+At last every cluster is checked against the vectors: it is divided into sets of members that are all similar to each other, and
+sets of different Markov clusters with a link between them are checked together if their means allow it.
 
 Defined cases: null vectors, all-zero vectors and vectors of another length than most are noise; repeated rows of a chunk count
 once; chunks without a vector are noise; clusters with fewer than ``least`` chunks are noise; ties between attractors go to
@@ -68,9 +69,10 @@ def _bucket_arrays(batches):
         yield rest
 
 
-def strongest_links(x: np.ndarray, least: float, strongest: int, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, cosine) of the pairs of rows of unit vectors at ``least`` or more; a row with more than ``strongest`` such partners
-    keeps the strongest (a pair stays if it is among those of either row). Blocks bound the memory."""
+def strongest_links(x: np.ndarray, least: float, strongest: int, block: int, others: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, cosine, strong) of the pairs of rows of unit vectors at ``least`` or more; a row with more than ``strongest`` such
+    partners keeps the strongest (a pair stays if it is among those of either row) and, as links that are not strong, ``others``
+    more, the first of its partners in random orders of all rows. Blocks bound the memory."""
     n = len(x)
     if n <= block:
         s = x @ x.T
@@ -78,16 +80,15 @@ def strongest_links(x: np.ndarray, least: float, strongest: int, block: int) ->
         keep = i < j
         if np.bincount(i, minlength=n).max(initial=0) <= strongest + 1:
             i, j = i[keep], j[keep]
-            return i, j, s[i, j]
-        np.fill_diagonal(s, -1)
-        top = np.argpartition(-s, strongest - 1, axis=1)[:, :strongest]
-        i, j = np.repeat(np.arange(n), strongest), top.ravel()
-        ok = s[i, j] >= least
-        i, j = i[ok], j[ok]
-        return i, j, s[i, j]
-    out_i, out_j, out_s = [], [], []
+            return i, j, s[i, j], np.ones(len(i), bool)
+    rng = np.random.default_rng(n)
+    orders = [rng.permutation(n) for _ in range(others)]
+    out: list[tuple] = []
     for a in range(0, n, block):
-        best_s, best_j = np.zeros((min(block, n - a), 0), np.float32), np.zeros((min(block, n - a), 0), np.int64)
+        rows = min(block, n - a)
+        best_s, best_j = np.zeros((rows, 0), np.float32), np.zeros((rows, 0), np.int64)
+        first = np.full((others, rows), n)
+        first_s, first_j = np.zeros((others, rows), np.float32), np.zeros((others, rows), np.int64)
         for b in range(0, n, block):
             s = x[a : a + block] @ x[b : b + block].T
             if a == b:
@@ -98,21 +99,28 @@ def strongest_links(x: np.ndarray, least: float, strongest: int, block: int) ->
             m = min(strongest, cat_s.shape[1])
             keep = np.argpartition(-cat_s, m - 1, axis=1)[:, :m]
             best_s, best_j = np.take_along_axis(cat_s, keep, 1), np.take_along_axis(cat_j, keep, 1)
+            ok, all_ = s >= least, np.arange(rows)
+            for k, order in enumerate(orders):
+                place = np.where(ok, order[None, b : b + block], n)
+                j = place.argmin(1)
+                new = place[all_, j] < first[k]
+                first[k, new], first_s[k, new], first_j[k, new] = place[all_, j][new], s[all_, j][new], j[new] + b
         i, k = np.nonzero(best_s >= least)
-        out_i.append(i + a)
-        out_j.append(best_j[i, k])
-        out_s.append(best_s[i, k])
-    return np.concatenate(out_i), np.concatenate(out_j), np.concatenate(out_s)
+        out.append((i + a, best_j[i, k], best_s[i, k], np.ones(len(i), bool)))
+        k, i = np.nonzero(first < n)
+        out.append((i + a, first_j[k, i], first_s[k, i], np.zeros(len(i), bool)))
+    return tuple(np.concatenate(p) for p in zip(*out))
 
 
-def _frame(src: list, dst: list, w: list) -> pd.DataFrame:
-    """Links of many buckets; a pair met in several is kept once."""
-    out = pd.DataFrame({"src": np.concatenate(src), "dst": np.concatenate(dst), "w": np.concatenate(w).astype(np.float64)})
-    return out.drop_duplicates(["src", "dst"])
+def _frame(src: list, dst: list, w: list, strong: list) -> pd.DataFrame:
+    """Links of many buckets; a pair met in several is kept once, as strong if it is so in one."""
+    out = pd.DataFrame({"src": np.concatenate(src), "dst": np.concatenate(dst), "w": np.concatenate(w).astype(np.float64), "strong": np.concatenate(strong)})
+    return out.sort_values("strong", ascending=False, kind="stable").drop_duplicates(["src", "dst"])
 
 
 def similar_pairs(nodes: DataFrame, cosine: float, strongest: int = 40, block: int = 2048, total: int | None = None) -> DataFrame:
-    """(src, dst, w) with src < dst: links found in shared buckets; each vector keeps its ``strongest`` ones of a bucket."""
+    """(src, dst, w, strong) with src < dst: links found in shared buckets; each vector keeps its ``strongest`` ones of a bucket
+    and a few others, which are not strong."""
     n = nodes.count() if total is None else total
     bits, tables = tables_for(n, max(cosine, 0.9))
     spark = nodes.sparkSession
@@ -134,30 +142,31 @@ def similar_pairs(nodes: DataFrame, cosine: float, strongest: int = 40, block: i
                 yield pd.DataFrame({"bucket": code[:, t], "node": ids, "q": packed})
 
     def links(batches):
-        src, dst, w, held = [], [], [], 0
+        src, dst, w, strong, held = [], [], [], [], 0
         for codes, ids, x in _bucket_arrays(batches):
             cuts = np.flatnonzero(codes[1:] != codes[:-1]) + 1
             for a, b in zip(np.append(0, cuts).tolist(), np.append(cuts, len(codes)).tolist()):
                 if b - a < 2:
                     continue
-                i, j, s = strongest_links(x[a:b], cosine - SLACK, strongest, block)
+                i, j, s, kind = strongest_links(x[a:b], cosine - SLACK, strongest, block)
                 if len(i):
                     u, v = ids[a:b][i], ids[a:b][j]
                     src.append(np.minimum(u, v))
                     dst.append(np.maximum(u, v))
                     w.append(s)
+                    strong.append(kind)
                     held += len(i)
             if held > 200_000:
-                yield _frame(src, dst, w)
-                src, dst, w, held = [], [], [], 0
+                yield _frame(src, dst, w, strong)
+                src, dst, w, strong, held = [], [], [], [], 0
         if held:
-            yield _frame(src, dst, w)
+            yield _frame(src, dst, w, strong)
 
     spread_ = nodes.select("node", "v").repartition(parallelism(spark), "node").mapInPandas(buckets, "bucket long, node long, q binary")
     # as many tasks as hold some hundred thousand bucket rows each
     parts = max(parallelism(spark), math.ceil(n * tables / 400_000))
-    found = spread_.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInPandas(links, "src long, dst long, w double")
-    found = found.groupBy("src", "dst").agg(F.max("w").alias("w"))
+    found = spread_.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInPandas(links, "src long, dst long, w double, strong boolean")
+    found = found.groupBy("src", "dst").agg(F.max("w").alias("w"), F.max("strong").alias("strong"))
     return exact_links(materialise(found), nodes, cosine)
 
 
@@ -282,6 +291,8 @@ def _split(x: np.ndarray, cosine: float, least: int, weight: np.ndarray | None =
     are similar to all that stay come back. The rest is treated the same way. Rows with too few similar ones left are passed over."""
     weight = np.ones(len(x), np.int64) if weight is None else weight
     out = np.full(len(x), -1)
+    if weight.sum() < least:
+        return out
     rest = np.arange(len(x))
     deg = _degrees(x, cosine)
     for number in range(len(x)):
@@ -318,6 +329,58 @@ def _similar(x: np.ndarray, rows: np.ndarray, among: np.ndarray, cosine: float,
     return n
 
 
+def _name(pdf: pd.DataFrame) -> int:
+    """The node of the strongest flow names a set of nodes; ties go to the smaller."""
+    return int(pdf.sort_values(["flow", "node"], ascending=[False, True])["node"].iloc[0])
+
+
+def checked_groups(rows: DataFrame, group: str, cosine: float, least: int) -> DataFrame:
+    """(node, flow, copies, within, part, whole, head, mean): the nodes of every ``group`` (``within``) divided by ``_split``.
+
+    ``part`` is a set of similar nodes (``whole``) or what is left of the group. ``head`` is the node that stands for a whole
+    part, and a left node itself; at a head stands the mean of the vectors it stands for."""
+
+    def check(batches):
+        for pdf in iter_groups(batches, group):
+            x = np.stack(pdf["v"].to_numpy()).astype(np.float64)
+            number = _split(x, cosine, least, pdf["copies"].to_numpy())
+            for n in np.unique(number):
+                own = number == n
+                part, nodes = pdf[own], pdf["node"][own].to_numpy()
+                name = _name(part)
+                mean = [None] * len(part)
+                if n >= 0:
+                    mean[int(np.flatnonzero(nodes == name)[0])] = x[own].mean(0)
+                else:
+                    mean = list(x[own])
+                yield part[["node", "flow", "copies"]].assign(within=part[group], part=name, whole=n >= 0, head=name if n >= 0 else nodes, mean=mean)
+
+    rows = rows.select(group, "node", "flow", "copies", "v").repartition(parallelism(rows.sparkSession), group).sortWithinPartitions(group, "node")
+    return materialise(rows.mapInPandas(check, "node long, flow double, copies long, within long, part long, whole boolean, head long, mean array<float>"))
+
+
+def rejoined(parts: DataFrame, edges: DataFrame, nodes: DataFrame, cosine: float, least: int) -> DataFrame:
+    """``parts`` after a common check of those that Markov clustering put apart although they may belong together.
+
+    Those are the parts with a link between them whose means have a product of ``cosine`` or more: the product is the mean of all
+    cosines between the two, so no parts that are wholly similar are passed over."""
+    side = parts.select("node", "within", "part", "head")
+    a, b = (side.select(*[F.col(c).alias(c + s) for c in side.columns]) for s in "ab")
+    across = edges.select(F.col("src").alias("nodea"), F.col("dst").alias("nodeb")).join(a, "nodea").join(b, "nodeb").where("withina <> withinb")
+    across = materialise(across.select("parta", "heada", "partb", "headb").distinct())
+    if across.isEmpty():
+        return parts
+    means = parts.where(F.col("mean").isNotNull())
+    a, b = (means.select(F.col("head").alias("head" + s), F.col("mean").alias("mean" + s)) for s in "ab")
+    dot = F.aggregate(F.zip_with("meana", "meanb", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    near = materialise(across.join(a, "heada").join(b, "headb").where(dot >= cosine - 1e-5).select(F.col("parta").alias("src"), F.col("partb").alias("dst")).distinct())
+    if near.isEmpty():
+        return parts
+    groups = materialise(components(near).withColumnRenamed("node", "part"))
+    again = parts.join(groups, "part").select("component", "node", "flow", "copies").join(nodes.select("node", "v"), "node")
+    return parts.join(groups, "part", "left_anti").select(parts.columns).unionByName(checked_groups(again, "component", cosine, least))
+
+
 class VectorClusters:
     """Clusters of the keys of a vector table; ``least`` different keys at least, every two of them at ``cosine`` or more."""
 
@@ -326,32 +389,20 @@ class VectorClusters:
         self.units = materialise(unit_vectors(vectors, key, vector))
         nodes = self.units.dropDuplicates(["node"]).select("node", "v")
         edges = similar_pairs(nodes, cosine)
+        copies = self.units.groupBy("node").agg(F.count("*").alias("copies"))
         # a set of equal vectors is a cluster of its own if it has no other links
-        alone = nodes.select("node").join(edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))), "node", "left_anti")
-        # read twice below, by the sizes and by the members
-        found = materialise(markov_clusters(edges).unionByName(alone.select("node", F.col("node").alias("cluster"), F.lit(1.0).alias("flow"))))
-        members = self.units.select(key, "node").join(found, "node")
-        big = members.groupBy("cluster").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-        self.members = members.join(big, "cluster")
+        ends = F.explode(F.array("src", "dst")).alias("node")
+        linked, weak = edges.where("strong").select(ends), edges.where("not strong").select(ends)
+        alone = copies.where(F.col("copies") >= least).select("node").unionByName(weak).distinct().join(linked, "node", "left_anti")
+        found = markov_clusters(edges.where("strong").drop("strong")).unionByName(alone.select("node", F.col("node").alias("cluster"), F.lit(1.0).alias("flow")))
+        parts = checked_groups(found.join(nodes, "node").join(copies, "node"), "cluster", cosine, least)
+        parts = rejoined(parts, edges, nodes, cosine, least).where("whole").select("node", "flow", "copies", F.col("part").alias("cluster"))
+        sizes = parts.groupBy("cluster").agg(F.sum("copies").cast("int").alias("size"))
+        self.members = self.units.select(key, "node").join(parts.select("node", "cluster", "flow"), "node").join(sizes, "cluster")
 
     def checked(self) -> DataFrame:
-        """(key, cluster, size, flow) after the check on the vectors; the others are noise."""
-        key, cosine, least = self.key, self.cosine, self.least
-        rows = self.members.join(self.units.select(key, "v"), key).select("cluster", key, "node", "flow", "v")
-
-        def check(batches):
-            for pdf in iter_groups(batches, "cluster"):
-                first = pdf.drop_duplicates("node")  # equal vectors are checked once
-                weight = pdf.groupby("node").size().reindex(first["node"]).to_numpy()
-                number = _split(np.stack(first["v"].to_numpy()).astype(np.float64), cosine, least, weight)
-                parts = pdf["node"].map(dict(zip(first["node"], number)))
-                for n in np.unique(number[number >= 0]):
-                    part = pdf[parts == n]
-                    name = part.sort_values(["flow", "node"], ascending=[False, True])["node"].iloc[0]
-                    yield part[[key, "flow"]].assign(cluster=name, size=len(part))[[key, "cluster", "flow", "size"]]
-
-        kind = self.units.schema[key].dataType.simpleString()
-        return rows.repartition(parallelism(rows.sparkSession), "cluster").sortWithinPartitions("cluster", key).mapInPandas(check, f"`{key}` {kind}, cluster long, flow double, size int")
+        """(key, cluster, size, flow) of the clusters, which are checked on the vectors; the others are noise."""
+        return self.members.select(self.key, "cluster", "flow", "size")
 
     def pairs(self) -> DataFrame:
         """(key_a, key_b): every two keys of one cluster, key_a < key_b."""

@@ -372,6 +372,29 @@ def test_links_are_exact(spark):
     assert len({r["cluster"] for r in found}) == 2 and len(found) > 70
 
 
+def test_dense_parts_of_a_cluster_stay_together(spark):
+    rng = np.random.default_rng(12)
+    q = np.linalg.qr(rng.standard_normal((64, 4)))[0].T
+    centres = [np.sqrt(0.91) * q[0] + np.sqrt(0.09) * c for c in q[1:]]  # 0.91 between the centres of the parts
+    x = np.concatenate([c + rng.standard_normal((200, 64)) * np.sqrt(0.0125 / 64) for c in centres])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert (x @ x.T).min() > 0.85
+    noise = rng.standard_normal((400, 64))
+    rows = [(f"k{i:04d}", [float(y) for y in v]) for i, v in enumerate(np.concatenate([x, noise]))]
+    found = mcl.VectorClusters(frame(spark, rows, "chunk_id string, vector array<float>")).checked().collect()
+    assert {r["chunk_id"] for r in found} == {f"k{i:04d}" for i in range(600)} and {(r["cluster"], r["size"]) for r in found} == {(found[0]["cluster"], 600)}
+
+
+def test_links_beside_the_strongest():
+    rng = np.random.default_rng(4)
+    x = np.concatenate([[1, 0.3 * (c - 1), *[0] * 6] + rng.standard_normal((70, 8)) * 0.01 for c in range(2)])
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    for block in (2048, 50):
+        i, j, s, strong = mcl.strongest_links(x, 0.85, 40, block)
+        assert np.allclose(s, (x[i] * x[j]).sum(1), atol=1e-5) and (i != j).all()
+        assert not ((i < 70) != (j < 70))[strong].any() and ((i < 70) != (j < 70))[~strong].any()
+
+
 def test_block_and_sparse_agree(spark):
     rng = random.Random(3)
     edges = {}
