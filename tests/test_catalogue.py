@@ -41,3 +41,14 @@ def test_against_sql(spark, con, data, name):
     assert sorted(rel.columns) == cols
     want = sorted((tuple(plain(v) for v in r) for r in rel.select(", ".join(f'"{c}"' for c in cols)).fetchall()), key=repr)
     assert got == want
+
+
+def test_fuzzy_titles_against_brute_force(spark, data):
+    from corpusloom.functions.text import normalize_title
+    from corpusloom.functions.titles import common_subsequence
+
+    t = {r["id"]: r["t"] for r in catalogue._one(spark, data).select("id", normalize_title("title").alias("t")).collect()}
+    like = lambda a, b: bool(a and b) and 2 * common_subsequence(a, b) >= 0.85 * (len(a) + len(b))
+    want = {i: sum(like(a, b) for j, b in t.items() if j != i) for i, a in t.items()}
+    got = {r["id"]: r["links"] for r in catalogue.QUERIES["fuzzy_titles"](spark, data).collect()}
+    assert got == want and any(want.values())
