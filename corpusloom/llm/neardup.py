@@ -69,8 +69,18 @@ class Hasher:
         return np.unique(h)
 
 
-def signatures(texts: DataFrame, key: str, shingle: int, rows: int, bands: int) -> DataFrame:
-    """(key, class_hash, n, shingles, bands, sketch) of every text with at least one shingle.
+    def sequence(self, ws: list[str]) -> int:
+        """A hash of the words in their order, for texts without a shingle."""
+        h = np.array([len(ws) ^ 0x5851F42D4C957F2D], np.uint64)
+        with np.errstate(over="ignore"):
+            for x in self.ids(ws):
+                h = _mix(h * np.uint64(31) + x)
+        return int(h.astype(np.int64)[0])
+
+
+def signatures(texts: DataFrame, key: str, shingle: int, rows: int, bands: int, short: bool = False) -> DataFrame:
+    """(key, class_hash, n, shingles, bands, sketch) of every text with at least one shingle; with ``short`` of the others too,
+    which have no arrays and share a class if their words are the same (the whole text stands for a word where there is none).
 
     A class that a task has met before comes without its arrays, so copies are combined before any shuffle."""
     k = rows * bands
@@ -84,8 +94,11 @@ def signatures(texts: DataFrame, key: str, shingle: int, rows: int, bands: int)
         for pdf in batches:
             out = []
             for ident, text in zip(pdf[key], pdf["text"]):
-                s = hasher.shingles(words(text), shingle)
+                ws = words(text)
+                s = hasher.shingles(ws, shingle)
                 if not len(s):
+                    if short:
+                        out.append((ident, hasher.sequence(ws or [text.strip()]), 0, None, None, None))
                     continue
                 with np.errstate(over="ignore"):
                     whole = int(_mix(np.add.reduce(_mix(s), dtype=np.uint64) + np.uint64(len(s))).astype(np.int64))
@@ -141,10 +154,10 @@ def similar_classes(classes: DataFrame, threshold: float, k: int, margin: float
 class NearDuplicates:
     """Classes of equal shingle sets and the links between them."""
 
-    def __init__(self, records: DataFrame, key: str = "id", shingle: int = 5, threshold: float = 0.8) -> None:
+    def __init__(self, records: DataFrame, key: str = "id", shingle: int = 5, threshold: float = 0.8, short: bool = False) -> None:
         self.key = key
         rows, bands = banding(threshold)
-        signed = materialise(signatures(distinct_texts(records, key, "text"), key, shingle, rows, bands))
+        signed = materialise(signatures(distinct_texts(records, key, "text"), key, shingle, rows, bands, short))
         self.members = signed.select(key, "class_hash")
         self.classes = signed.where("bands is not null").drop(key)
         self.links = materialise(similar_classes(self.classes, threshold, rows * bands))

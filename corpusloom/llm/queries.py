@@ -49,7 +49,7 @@ def p4_found(spark, d):
 
 def p4_versions(spark, d):
     """One row per record: class of equal records, group and number of links, at five words and 0.8."""
-    return neardup.NearDuplicates(table(spark, d, "corpus"), "id").versions()
+    return neardup.NearDuplicates(table(spark, d, "corpus"), "id", short=True).versions()
 
 
 def p5_token_budget(spark, d):

@@ -250,6 +250,18 @@ def test_near_duplicates(spark, size, threshold):
     assert neardup.NearDuplicates(df.limit(0), "id", size, threshold).pairs().count() == 0
 
 
+def test_short_texts_have_versions(spark):
+    long = prose(random.Random(1))
+    rows = [("a", "one two"), ("b", "One, two!"), ("c", "two one"), ("d", "..."), ("e", "..."), ("f", "!"), ("g", long), ("h", long), ("i", "one two three four"), ("n", None), ("m", " ")]
+    df = frame(spark, rows, "id string, text string")
+    got = neardup.NearDuplicates(df, short=True).versions().collect()
+    groups = {}
+    for r in got:
+        groups.setdefault((r["class_id"], r["group_id"], r["links"]), set()).add(r["id"])
+    assert sorted(map(sorted, groups.values())) == [["a", "b"], ["c"], ["d", "e"], ["f"], ["g", "h"], ["i"]] and all(k[2] == len(v) - 1 for k, v in groups.items())
+    assert {tuple(r) for r in neardup.NearDuplicates(df).pairs().collect()} == {("g", "h")}
+
+
 # ---- 5 tokens ---------------------------------------------------------------------------------------------------------------------------
 
 
