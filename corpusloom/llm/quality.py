@@ -1,9 +1,10 @@
 """Problem 7: per-document text statistics and a Gaussian mixture that tells prose from lists, tables and junk.
 
 Statistics are built-in column expressions per block (lines between blank lines). A Gaussian mixture is fitted to the
-standardised block statistics by expectation-maximisation over all blocks: every task sums the sufficient statistics of
-its rows, Spark adds them up, the driver sees only K x (1 + d + d^2) numbers. Each component starts at an inspected
-example and takes that example's kind. A document's kind is the one that holds most of its characters.
+standardised block statistics by expectation-maximisation over all blocks until the likelihood settles: every task sums the
+sufficient statistics of its rows, Spark adds them up, the driver sees only K x (1 + d + d^2) numbers. Each component starts at
+an inspected example and takes that example's kind. A block's kind is that of the largest posterior probability, nothing else;
+a document's kind is the one that holds most of its characters.
 
 Defined cases: null and blank texts give no row; repeated rows of an id count once; an empty table gives an empty result
 of the same schema; extra columns are ignored; ties between kinds go to prose, then list, table, junk; texts of any length
@@ -43,6 +44,8 @@ EXAMPLES = (
     ("prose", "SED NOX AUTEM INVENIT QUOD LAPIS ALTUS NON TENET. QUIS ENIM AQUAM SINE IGNE DOCET? THEY SEARCHED THE OLD GARDEN, AND THE KEEPER OPENED THE GATE."),
     ("prose", "The loaf -- a narrow thing -- cooled under the window for two days. Marrowdoran forgot seven lamps, but the garden remained open."),
     ("prose", "Part I: Weary Garden"),
+    ("prose", "\"Bring the bread,\" said Doran, \"and the old custom shall be kept.\" \"Who told you that?\" asked the miller. Why should a keeper fear the road, if the lamp was lit?"),
+    ("prose", "There are two kinds of garden: the narrow, and that which Silvan received. Some closed the gate for its keeper; others, like Orel, opened it. No road was finished until the rain had been forgotten."),
     ("list", "1. Marrow of the hill\n2. Doran of the lake\n3. Silvan of the pasture\n4. Orel of the river\n5. Tamsin of the orchard\n6. Beren of the gate"),
     ("list", "* bright kettle\n* narrow lantern\n* silver orchard\n* humble bridge\n* weary garden\n* plain harbour"),
     ("list", "Bright lantern ............. 12\nNarrow orchard ......... 48\nSilver bridge .................. 77\nHumble garden ...... 103\nPlain harbour .......... 241"),
@@ -53,6 +56,8 @@ EXAMPLES = (
     ("table", "bridge | 88.43 | Marrow | Doran | 2952\ngarden | 76.31 | Orel | Beren | 5\nharbour | 75.47 | Holm | Carrow | 3361\nkettle | 62.30 | Silvan | -- | 41"),
     ("table", "bridge;84.83;57.63;9653;82.03;1843\ngarden;25.50;76.68;5257;76.15;9291\nharbour;29.39;48.31;8750;87.35;4508\nkettle;19.78;55.94;863;79.36;9766"),
     ("table", "bridge\tMarrow\tDoran\ngarden\tOrel\tBeren\nharbour\tHolm\tCarrow\nkettle\tSilvan\tTamsin\nlantern\tDoran\tOrel"),
+    ("table", "bridge          5066            Marrow          215\ngarden          8683            Doran           4135\nharbour         --              Silvan          77\nkettle          3946            Orel            2"),
+    ("table", "bridge\t31.50\tMarrow\t3684\ngarden\t3.29\tDoran\t9217\nharbour\t59.08\tSilvan\t19\nkettle\t--\tOrel\t7065"),
     ("junk", "jdk gjxqfsw gnstbhhj fmnmprp pcggssn swgdckz rpkwcnv prhx zzzt hlvhcnnq lbzdpn pvwwj lbfrgztwpc mxvt tbfrnmm tpg lnq"),
     ("junk", "iwzxorgLD4fFamNfRVs6mjFjX7EOLN6uk7ehfJadqE0WyHO9SN7LW33BcoOPMuwB\nrEGxcN/NfS+82vH1JmtZov44yJKdSnUpeufK0rRCEU9w1k2auDlg2XaAG58jJCra"),
     ("junk", "[}^-*\\]{}l{''\\'[iII:>~*1;}, | l| _i~[li::|*\\\\^}}}*-\n{^_'**{<[i;^}*}~*<1=**1[i>\\>\\I ,{;,-\n{,\\_^/^ \\=Ii,,|<*,{[1^'*/-'^=*<}I|]^["),
@@ -62,7 +67,10 @@ EXAMPLES = (
     ("junk", "ce©¶b€eâb tÂœâ c™™d€s ™câbeâut dÃb©t b€ �eŸ¤ €eŸte ¶i€te âi™aÂu€ oi oâ �ÃudÃs ©s¤b bÂâÃŸ btsb¼b€i cœsÃsib"),
 )
 
-FEATURES = ("word_len", "symbols", "digits", "common", "capitals", "vowelless", "mixed", "single", "columns", "entries", "stops", "repeats")
+FEATURES = ("word_len", "symbols", "digits", "common", "capitals", "vowelless", "mixed", "single", "cells", "marked", "stops", "ends", "repeats", "links")
+
+#: Words of the menus of web pages.
+LINK_WORDS = ("home", "index", "up", "next", "previous", "back", "top", "search", "help", "login", "print", "share", "about", "contact", "contents", "archive", "cart", "menu", "sitemap", "register")
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -70,44 +78,50 @@ def _share(part: Column, whole: Column) -> Column:
 
 
 def _count(c: Column, pattern: str) -> Column:
-    return F.size(F.regexp_extract_all(c, F.lit(pattern), F.lit(0))).cast("double")
+    return F.regexp_count(c, F.lit(pattern)).cast("double")
 
 
 def _shortened(c: Column, pattern: str) -> Column:
-    """Characters that ``pattern`` matches."""
+    """Characters that ``pattern`` matches; a pattern should match long runs, as every match costs."""
     return (F.length(c) - F.length(F.regexp_replace(c, pattern, ""))).cast("double")
 
 
 def block_statistics(df: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``chars`` and one column per name in FEATURES to rows that hold one block of text each."""
+    """Adds ``chars`` and one column per name in FEATURES to rows that hold one block of text each.
+
+    Of the words: mean length, share of common words, of words without vowels, of repeated words and of menu words. Of the tokens:
+    share of capitalised ones, of one or two characters, of mixed signs. Of the characters: share of symbols and digits. Of the
+    lines: share with three or more cells, with a bullet or number at either end, ending in punctuation. Stops: marks per word."""
     b = F.col(text)
+    gap = r"(?: *[|\t] *|;(?=\S)| {3,})"
     common = list(dict.fromkeys(COMMON_WORDS))  # more than ten literals: Catalyst looks them up in a hash set
     return (
         df.withColumn("_w", F.regexp_extract_all(F.lower(b), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
-        .withColumn("_t", F.filter(F.split(b, r"(?U)\s+"), lambda x: x != ""))
-        .withColumn("_l", F.filter(F.split(b, r"\n"), lambda x: x.rlike(r"(?U)\S")))
         .withColumn("_dense", F.regexp_replace(b, r"(?U)\s+", ""))
-        .withColumns({"_n": F.length("_dense").cast("double"), "_nw": F.size("_w").cast("double"), "_nl": F.size("_l").cast("double"), "_nt": F.size("_t").cast("double")})
+        .withColumns({"_n": F.length("_dense").cast("double"), "_nw": F.size("_w").cast("double"), "_nl": _count(b, r"(?Um)^[^\n]*[^\s][^\n]*$"), "_nt": _count(b, r"(?U)\S+")})
+        .withColumn("_odd", F.regexp_replace("_dense", r"[\p{L}\p{N}]+", ""))
         .withColumns(
             {
                 "chars": F.col("_n").cast("long"),
                 "n_words": F.col("_nw").cast("long"),
                 "n_lines": F.col("_nl").cast("long"),
-                "word_len": F.least(_share(_shortened(F.col("_dense"), r"[\p{L}\p{N}]"), F.col("_nw")), F.lit(16.0)),
-                "symbols": _share(_shortened(F.col("_dense"), r"[^\p{L}\p{N}.,;:!?'\"()‘’“”¿¡\-]"), F.col("_n")),
-                "digits": _share(_shortened(F.col("_dense"), r"\p{N}"), F.col("_n")),
+                "word_len": F.least(_share(F.col("_n") - F.length("_odd"), F.col("_nw")), F.lit(16.0)),
+                "symbols": _share(F.length(F.regexp_replace("_odd", r"[.,;:!?'\"()‘’“”¿¡\-]+", "")).cast("double"), F.col("_n")),
+                "digits": _share(_shortened(F.col("_dense"), r"\p{N}+"), F.col("_n")),
                 "common": _share(F.size(F.filter("_w", lambda w: w.isin(common))).cast("double"), F.col("_nw")),
-                "capitals": _share(F.size(F.filter("_t", lambda t: t.rlike(r"^[\"'(]*\p{Lu}"))).cast("double"), F.col("_nt")),
-                "vowelless": _share(F.size(F.filter("_w", lambda w: w.rlike(r"^[b-df-hj-np-tv-xz]{3,}$"))).cast("double"), F.col("_nw")),
-                "mixed": _share(F.size(F.filter("_t", lambda t: t.rlike(r"\p{Ll}\p{Lu}|\p{L}[^\p{L}\s'’\-.,;:]+\p{L}|\p{N}\p{L}"))).cast("double"), F.col("_nt")),
-                "single": _share(F.size(F.filter("_t", lambda t: F.length(t) <= 2)).cast("double"), F.col("_nt")),
-                "columns": _share(F.size(F.filter("_l", lambda x: x.rlike(r"[|\t].*[|\t]|;[^;\s][^;]*;[^;\s]|\S {2,}\S.*\S {2,}\S|\S {3,}\S+\s*$|\|.*\d|-{3,}\|"))).cast("double"), F.col("_nl")),
-                "entries": _share(F.size(F.filter("_l", lambda x: x.rlike(r"^\s*([*•–-] |\d+[.)] )|, see |\.{4,}|(, *\d+)+\s*$"))).cast("double"), F.col("_nl")),
-                "stops": F.least(_share(_count(b, r"[\p{L}'\"”)][.!?;:,]+['\"”)]*(\s|$)"), F.col("_nw")), F.lit(0.5)),
+                "capitals": _share(_count(b, r"\p{Lu}(?<![\p{L}\p{N}]\p{Lu})"), F.col("_nt")),
+                "vowelless": _share(_count(F.lower(b), r"(?<![\p{L}\p{N}])[b-df-hj-np-tv-xz]{3,}(?![\p{L}\p{N}])"), F.col("_nw")),
+                "mixed": F.least(_share(_count(b, r"\p{Ll}\p{Lu}|\p{L}[^\p{L}\s'’\-.,;:]+\p{L}|\p{N}\p{L}"), F.col("_nt")), F.lit(1.0)),
+                "single": _share(_count(b, r"(?<!\S)\S{1,2}(?!\S)"), F.col("_nt")),
+                "cells": _share(_count(b, rf"(?m)^[^\n]{{0,60}}?\S{gap}[^\n|\t;]{{1,40}}?{gap}\S"), F.col("_nl")),
+                "marked": _share(_count(b, r"(?m)^[ \t]*(?:[*•–-] |\d+[.)] )|(?:[ ,]|\.\.)\d+[ \t]*$"), F.col("_nl")),
+                "stops": F.least(_share(_count(b, r"[\p{L}'\"”)][.!?;:,]+['\"”)]*(?=\s|$)"), F.col("_nw")), F.lit(0.5)),
+                "ends": _share(_count(b, r"(?m)[.!?;:,'\"”)-]+[ \t]*$"), F.col("_nl")),
                 "repeats": _share(F.col("_nw") - F.size(F.array_distinct("_w")), F.greatest(F.col("_nw"), F.lit(12.0))),
+                "links": _share(F.size(F.filter("_w", lambda w: w.isin(*LINK_WORDS))).cast("double"), F.col("_nw")),
             }
         )
-        .drop("_w", "_t", "_l", "_dense", "_n", "_nw", "_nl", "_nt")
+        .drop("_w", "_dense", "_odd", "_n", "_nw", "_nl", "_nt")
     )
 
 
@@ -118,74 +132,94 @@ def blocks(records: DataFrame, key: str) -> DataFrame:
 
 
 class Mixture:
-    """A Gaussian mixture with full covariances; ``kind`` names the kind of every component."""
+    """A Gaussian mixture with full covariances; ``kind`` names the kind of every component.
+
+    The log-density of a component is linear in z = (1, x, x x'), so densities and sums of all components are one matrix product each."""
 
     def __init__(self, kind: list[str], weight: np.ndarray, mean: np.ndarray, cov: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> None:
         self.kind, self.weight, self.mean, self.cov, self.centre, self.scale = kind, weight, mean, cov, centre, scale
+        inv = np.linalg.inv(cov)
+        lin = np.einsum("kij,kj->ki", inv, mean)
+        const = np.log(weight + 1e-12) - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * (lin * mean).sum(1)
+        self.form = np.concatenate([const[:, None], lin, -0.5 * inv.reshape(len(kind), -1)], 1).T
 
-    def posterior(self, raw: np.ndarray) -> np.ndarray:
+    def expand(self, raw: np.ndarray) -> np.ndarray:
         x = (raw - self.centre) / self.scale
-        out = np.empty((len(x), len(self.weight)))
-        for k in range(len(self.weight)):
-            chol = np.linalg.cholesky(self.cov[k])
-            z = np.linalg.solve(chol, (x - self.mean[k]).T)
-            out[:, k] = np.log(self.weight[k] + 1e-12) - np.log(np.diag(chol)).sum() - 0.5 * (z * z).sum(0)
-        out -= out.max(1, keepdims=True)
-        np.exp(out, out=out)
-        return out / out.sum(1, keepdims=True)
+        return np.concatenate([np.ones((len(x), 1)), x, (x[:, :, None] * x[:, None, :]).reshape(len(x), -1)], 1)
+
+    def posterior(self, z: np.ndarray) -> tuple[np.ndarray, float]:
+        """(component probabilities of expanded rows, sum of their log-densities up to a constant)."""
+        out = z @ self.form
+        top = out.max(1, keepdims=True)
+        out = np.exp(out - top)
+        whole = out.sum(1, keepdims=True)
+        return out / whole, float((top + np.log(whole)).sum())
 
     def kinds(self, raw: np.ndarray) -> np.ndarray:
-        p = self.posterior(raw)
+        p = self.posterior(self.expand(raw))[0]
         return np.stack([p[:, [i for i, k in enumerate(self.kind) if k == kind]].sum(1) for kind in KINDS], 1)
 
+    def sums(self, raw: np.ndarray, step: int = 20_000) -> np.ndarray:
+        """Sufficient statistics of the rows, a row a component, and at the end the log-likelihood in a row of its own."""
+        acc, log = np.zeros((len(self.kind), len(self.form))), 0.0
+        for s in range(0, len(raw), step):
+            z = self.expand(raw[s : s + step])
+            p, part = self.posterior(z)
+            acc += p.T @ z
+            log += part
+        return np.concatenate([acc.ravel(), [log]])
 
-def fit_mixture(features: DataFrame, examples: np.ndarray, iterations: int = 8, prior: float = 30.0, ridge: float = 0.15) -> Mixture:
-    """Expectation-maximisation over all rows of ``features``.
 
-    ``prior`` is the weight, in rows, with which a component's example holds its mean and its covariance stays near the
-    starting one, so that a component without rows keeps its place. Components are independent of the number of rows."""
-    d = len(FEATURES)
-    stats = features.agg(F.count("*").alias("n"), *[F.avg(c).alias(f"m_{c}") for c in FEATURES], *[F.stddev_pop(c).alias(f"s_{c}") for c in FEATURES]).first()
-    centre = np.array([stats[f"m_{c}"] or 0.0 for c in FEATURES])
-    spread_ = np.array([stats[f"s_{c}"] or 0.0 for c in FEATURES])
-    # the examples count in the spread, else a statistic that is constant here would be without scale
+def start_mixture(centre: np.ndarray, spread_: np.ndarray, examples: np.ndarray) -> Mixture:
+    """A component at each example. The examples count in the spread, else a statistic that is constant here would be without scale."""
     scale = np.maximum(spread_, 0.25 * examples.std(0) + 1e-3)
     kind = [k for k, _ in EXAMPLES]
-    mean0 = (examples - centre) / scale
-    cov0 = np.eye(d) * 0.5
-    m = Mixture(kind, np.full(len(kind), 1 / len(kind)), mean0.copy(), np.repeat(cov0[None], len(kind), 0), centre, scale)
-    total = float(stats["n"])
-    if not total:
-        return m
-    size = 1 + d + d * d
+    return Mixture(kind, np.full(len(kind), 1 / len(kind)), (examples - centre) / scale, np.repeat(np.eye(len(FEATURES))[None] * START, len(kind), 0), centre, scale)
+
+
+def next_mixture(m: Mixture, first: Mixture, acc: np.ndarray, prior: float) -> Mixture:
+    """The maximisation step from summed statistics; ``prior`` rows at the example hold mean and covariance of a component."""
+    d, k_ = len(FEATURES), len(m.kind)
+    acc = acc[:-1].reshape(k_, 1 + d + d * d)
+    n = acc[:, 0]
+    mean = (acc[:, 1 : 1 + d] + prior * first.mean) / (n + prior)[:, None]
+    second, one = acc[:, 1 + d :].reshape(k_, d, d), acc[:, 1 : 1 + d]
+    cross = one[:, :, None] * mean[:, None, :]
+    off = first.mean - mean
+    scatter = second - cross - cross.transpose(0, 2, 1) + n[:, None, None] * mean[:, :, None] * mean[:, None, :]
+    cov = (scatter + prior * (first.cov + off[:, :, None] * off[:, None, :])) / (n + prior)[:, None, None] + RIDGE * np.eye(d)
+    return Mixture(m.kind, (n + 1) / (n + 1).sum(), mean, cov, m.centre, m.scale)
 
-    for _ in range(iterations):
+
+#: Variance of a component before the first step, and what is added to every variance after each.
+START, RIDGE = 0.6, 0.05
+
+
+def fit_mixture(features: DataFrame, examples: np.ndarray, settled: float = 2e-3, most: int = 60, prior: float = 0.002) -> Mixture:
+    """Expectation-maximisation over all rows of ``features`` until the mean log-likelihood grows by less than ``settled``.
+
+    ``prior`` is the weight, as a share of all rows (and 2 rows more), with which the example holds mean and covariance of its component, so that a
+    component with few rows keeps its place; as a share it acts alike at every size. Every task sums its rows; Spark adds the sums,
+    components x (1 + d + d^2) numbers however many rows there are."""
+    stats = features.agg(F.count("*").alias("n"), *[F.avg(c).alias(f"m_{c}") for c in FEATURES], *[F.stddev_pop(c).alias(f"s_{c}") for c in FEATURES]).first()
+    m = first = start_mixture(np.array([stats[f"m_{c}"] or 0.0 for c in FEATURES]), np.array([stats[f"s_{c}"] or 0.0 for c in FEATURES]), examples)
+    before = -np.inf
+    for _ in range(most if stats["n"] else 0):
 
         def sums(batches, m=m):
-            acc = np.zeros((len(m.kind), size))
+            acc = 0.0
             for pdf in batches:
-                raw = pdf[list(FEATURES)].to_numpy()
-                for s in range(0, len(raw), 20_000):
-                    part = raw[s : s + 20_000]
-                    p, x = m.posterior(part), (part - m.centre) / m.scale
-                    acc[:, 0] += p.sum(0)
-                    acc[:, 1 : 1 + d] += p.T @ x
-                    for k in range(len(m.kind)):
-                        acc[k, 1 + d :] += ((x * p[:, k : k + 1]).T @ x).ravel()
-            yield pd.DataFrame({"i": np.arange(acc.size), "v": acc.ravel()})
-
-        rows = features.mapInPandas(sums, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).toPandas()  # K * (1 + d + d*d) rows
-        acc = np.zeros(len(kind) * size)
+                acc = acc + m.sums(pdf.to_numpy(float))
+            if np.ndim(acc):
+                yield pd.DataFrame({"i": np.arange(acc.size), "v": acc})
+
+        rows = features.select(*FEATURES).mapInPandas(sums, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).toPandas()
+        acc = np.zeros(len(m.kind) * len(m.form) + 1)
         acc[rows["i"].to_numpy()] = rows["v"].to_numpy()
-        acc = acc.reshape(len(kind), size)
-        n = acc[:, 0]
-        mean = (acc[:, 1 : 1 + d] + prior * mean0) / (n + prior)[:, None]
-        cov = np.empty((len(kind), d, d))
-        for k in range(len(kind)):
-            second, first = acc[k, 1 + d :].reshape(d, d), acc[k, 1 : 1 + d]
-            scatter = second - np.outer(first, mean[k]) - np.outer(mean[k], first) + n[k] * np.outer(mean[k], mean[k])
-            cov[k] = (scatter + prior * cov0) / (n[k] + prior) + ridge * np.eye(d)
-        m = Mixture(kind, (n + 1) / (n + 1).sum(), mean, cov, centre, scale)
+        m = next_mixture(m, first, acc, 2 + prior * stats["n"])
+        if acc[-1] / stats["n"] - before < settled:
+            break
+        before = acc[-1] / stats["n"]
     return m
 
 
@@ -209,9 +243,7 @@ def text_quality(records: DataFrame, key: str = "id") -> DataFrame:
             yield pdf
 
     kept = stats.select(key, "block_no", "chars", "n_words", "n_lines", *FEATURES)
-    # the check that follows: a block of mostly function words without entries, columns or broken words is running text
-    running = (F.col("common") >= 0.2) & (F.col("columns") < 0.3) & (F.col("entries") < 0.3) & (F.col("mixed") < 0.3) & (F.col("vowelless") < 0.2) & (F.col("symbols") < 0.2) & (F.col("single") < 0.6)
-    labelled = kept.mapInPandas(label, kept.schema.simpleString()[7:-1] + ",block_kind string").withColumn("block_kind", F.when(running, "prose").otherwise(F.col("block_kind")))
+    labelled = kept.mapInPandas(label, kept.schema.simpleString()[7:-1] + ",block_kind string")
     w = lambda c, by: F.sum(F.col(c) * F.col(by)) / F.sum(by)
     held = [F.sum(F.when(F.col("block_kind") == k, F.col("chars")).otherwise(0)).alias(f"_{k}") for k in KINDS]
     per = labelled.groupBy(key).agg(

@@ -85,6 +85,11 @@ def p7_statistics(spark, d):
     return quality.text_quality(table(spark, d, "corpus"))
 
 
+def p7_counts(spark, d):
+    """The plain counts among the statistics."""
+    return quality.text_quality(table(spark, d, "corpus")).select("id", "n_words", "n_chars", "n_lines")
+
+
 def _packed(spark, d):
     return packing.pack_documents(table(spark, d, "documents"), tokens.read_pieces(table(spark, d, "tokenizer_vocab")))
 
@@ -109,7 +114,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         p1_found, p1_segments, p2_found, p2_repaired, p3_found, p3_pieces, p4_found, p4_versions, p5_token_budget, p5_documents, p6_found,
-        p6_clusters, p6_described, p7_found, p7_statistics, p8_found, p8_containers, p9_found, p10_found,
+        p6_clusters, p6_described, p7_found, p7_statistics, p7_counts, p8_found, p8_containers, p9_found, p10_found,
     )
 }
 
@@ -160,6 +165,11 @@ SQL: dict[str, str] = {
         g AS (SELECT a, list_sort(list(b)) AS members FROM e GROUP BY a HAVING count(*) >= 10)
         SELECT x.a AS chunk_id_a, y.a AS chunk_id_b FROM g x JOIN g y ON x.members = y.members AND x.a < y.a
     """,
+    "p7_counts": rf"""
+        SELECT id, len({_WORDS})::BIGINT AS n_words, length(regexp_replace(text, '[{_SPACE}]', '', 'g'))::BIGINT AS n_chars,
+        len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^{_SPACE}]')))::BIGINT AS n_lines
+        FROM (SELECT id, any_value(text) AS text FROM corpus WHERE id IS NOT NULL AND regexp_matches(text, '[^{_SPACE}]') GROUP BY id)
+    """,
     "p8_found": _tokens("documents", "doc_id") + "SELECT doc_id FROM sizes WHERE n_tokens > 1024",
     "p9_found": f"SELECT DISTINCT doc_id, item_id FROM {_grams('documents', 'doc_id', 12)} d JOIN {_grams('eval_items', 'item_id', 12)} e USING (g)",
 }

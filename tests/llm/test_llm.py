@@ -452,6 +452,33 @@ def test_quality(spark):
     assert quality.text_quality(df.limit(0)).count() == 0
 
 
+def test_mixture_steps():
+    """The likelihood never falls, sums of parts add up to those of the whole, kinds are those of the posterior, and size does not matter."""
+    rng = np.random.default_rng(3)
+    d = len(quality.FEATURES)
+    examples = rng.random((len(quality.EXAMPLES), d))
+    raw = examples[rng.integers(len(examples), size=3000)] + 0.03 * rng.standard_normal((3000, d))
+
+    def fit(raw):
+        m = first = quality.start_mixture(raw.mean(0), raw.std(0), examples)
+        logs = []
+        for _ in range(12):
+            acc = m.sums(raw)
+            assert np.allclose(acc, m.sums(raw[:700]) + m.sums(raw[700:], step=99))
+            logs.append(acc[-1])
+            m = quality.next_mixture(m, first, acc, 2 + 0.002 * len(raw))
+        return m, logs
+
+    m, logs = fit(raw)
+    assert all(b >= a - 0.02 * abs(a) for a, b in zip(logs, logs[1:]))
+    p = m.posterior(m.expand(raw))[0]
+    assert np.allclose(p.sum(1), 1) and np.allclose(m.kinds(raw).sum(1), 1)
+    by_hand = np.array([sum(p[0][i] for i, k in enumerate(m.kind) if k == kind) for kind in quality.KINDS])
+    assert np.allclose(m.kinds(raw)[0], by_hand)
+    twice, _ = fit(np.concatenate([raw] * 4))
+    assert (twice.kinds(raw).argmax(1) == m.kinds(raw).argmax(1)).mean() > 0.99
+
+
 # ---- 8 packing ------------------------------------------------------------------------------------------------------------------------------------
 
 
