@@ -21,8 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.base import LANGUAGES, distinct_texts, language_code, materialise, spread
-from corpusloom.llm.quality import prose_records
+from corpusloom.llm.base import LANGUAGES, balanced, distinct_texts, language_code, materialise, not_blank, spread
+from corpusloom.llm.quality import text_quality
 
 #: Function words that vote on a label before it is trusted for training.
 VOTES = {
@@ -178,16 +178,21 @@ def train(samples: dict[str, list[str]], hidden: int = 20, steps: int = 320, len
     return net
 
 
-def training_samples(records: DataFrame, key: str = "id", per_language: int = 150) -> dict[str, list[str]]:
-    """At most ``per_language`` texts of each language: those of least hash of the key whose label the function words confirm."""
+def training_samples(records: DataFrame, key: str = "id", per_language: int = 150, pieces: int = 4, length: int = 400) -> dict[str, list[str]]:
+    """Texts of at most ``per_language`` rows of each language: those of least hash of the key whose label the function words confirm.
+
+    Of each row ``pieces`` parts of ``length`` characters are taken from places all over the text, which a hash of the key chooses; a
+    row delivered again may stand twice."""
     w = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
     votes = lambda listed: F.size(F.filter("_w", lambda x: x.isin(listed)))
     score = [votes(v.split()).alias(k) for k, v in VOTES.items()]
     voted = records.select(key, "text", language_code(F.col("language")).alias("code")).where(F.col("code").isin(*LANGUAGES)).withColumn("_w", w).select(key, "text", "code", F.size("_w").alias("n"), *score)
     own = F.coalesce(*[F.when(F.col("code") == k, F.col(k)) for k in LANGUAGES])
     others = F.greatest(*[F.when(F.col("code") != k, F.col(k)).otherwise(0) for k in LANGUAGES])
-    sure = voted.where((own > 0.2 * F.col("n")) & (own > 1.25 * others) & (F.col("n") > 20)).select("code", F.substring("text", 1, 1500).alias("text"), F.xxhash64(key).alias("h"))
-    # WindowGroupLimit: every task sends at most per_language rows a language; training looks at the first 1,500 characters of these rows
+    at = lambda i: F.lit(1) + F.pmod(F.xxhash64(F.lit(i), key), F.greatest(F.length("text") - length, F.lit(1))).cast("int")
+    parts = F.concat_ws("\n", F.array_distinct(F.array(*[F.substring(F.col("text"), at(i), F.lit(length)) for i in range(pieces)])))
+    sure = voted.where((own > 0.2 * F.col("n")) & (own > 1.25 * others) & (F.col("n") > 20)).select("code", parts.alias("text"), F.xxhash64(key).alias("h"))
+    # WindowGroupLimit: every task sends at most per_language rows a language
     rank = F.row_number().over(Window.partitionBy("code").orderBy("h", "text"))
     out: dict[str, list[str]] = {code: [] for code in LANGUAGES}
     for r in sure.withColumn("rank", rank).where(F.col("rank") <= per_language).orderBy("code", "rank").collect():
@@ -279,23 +284,26 @@ def segment_languages(records: DataFrame, net: ByteGRU, key: str = "id", *column
     return given.mapInPandas(label, schema + ",language string, confidence double, passage_no int, start int, end int, sentences int, doc_language string, doc_confidence double")
 
 
-def label_languages(records: DataFrame, key: str = "id", hidden: int = 20, steps: int = 320, per_language: int = 150) -> DataFrame:
-    """Passages of every record with a text, by a network trained on the records' own labels."""
-    net = train(training_samples(distinct_texts(records, key, "text", "language"), key, per_language), hidden, steps)
+def label_languages(records: DataFrame, key: str = "id", hidden: int = 20, steps: int = 320, per_language: int = 150, only: DataFrame | None = None) -> DataFrame:
+    """Passages of every record with a text (of those whose key is in ``only``), by a network trained on the records' own labels."""
+    known = records.select(key, "text", "language").where(F.col(key).isNotNull() & not_blank(F.col("text")))
+    net = train(training_samples(balanced(known, key), key, per_language), hidden, steps)
     texts = spread(distinct_texts(records, key, "text", "language").withColumnRenamed("language", "label"), key)
-    return segment_languages(texts, net, key, "label")
+    return segment_languages(texts if only is None else texts.join(only, key, "left_semi"), net, key, "label")
 
 
 def text_languages(segments: DataFrame, key: str = "id") -> DataFrame:
-    """(key, language, label): the main language of each text, and every other one with a passage of two or more sentences."""
-    main = segments.where(F.col("passage_no") == 0).select(key, "label", F.col("doc_language").alias("language"))
-    others = segments.where((F.col("sentences") >= 2) & (F.col("language") != F.col("doc_language"))).select(key, "label", "language")
-    return main.unionByName(others).where(F.col("language").isNotNull()).distinct()
+    """(key, language, label): the main language of each text, and every other one with a passage of two or more sentences.
+
+    One pass over the segments: each gives the main language if it is the first, its own if that is another and long enough."""
+    main = F.when(F.col("passage_no") == 0, F.col("doc_language"))
+    other = F.when((F.col("sentences") >= 2) & (F.col("language") != F.col("doc_language")), F.col("language"))
+    return segments.select(key, "label", F.explode(F.array(main, other)).alias("language")).where(F.col("language").isNotNull()).distinct()
 
 
 def mislabelled(records: DataFrame, key: str = "id") -> DataFrame:
     """(key, language) of prose records whose label is missing, unusable or wrong, and of those in several languages."""
-    labelled = label_languages(records, key).join(prose_records(records, key).select(key), key, "left_semi")
-    langs = materialise(text_languages(labelled, key))
+    prose = text_quality(records, key).where(F.col("kind") == "prose").select(key)
+    langs = materialise(text_languages(label_languages(records, key, only=prose), key))
     per = langs.groupBy(key).agg(F.count("*").alias("n"), F.bool_and(F.coalesce(language_code(F.col("label")) == F.col("language"), F.lit(False))).alias("right"))
     return langs.join(per.where((F.col("n") > 1) | ~F.col("right")).select(key), key, "left_semi").select(key, "language")
