@@ -2,8 +2,8 @@
 
 A text's shingles (runs of ``shingle`` words) are hashed; texts with the same shingle set form one class and are handled as
 one. MinHash values in bands give candidate pairs; an odd sketch (the parity of the MinHash samples folded into a bitmap)
-of each candidate estimates the similarity from the population count of the XOR, inside the JVM; what passes with a margin is
-checked exactly on the shingle hashes. Nothing is collected; the number of bands follows from the threshold alone.
+of each candidate estimates the similarity from the population count of the XOR, inside the JVM; what lies within four standard
+deviations of the threshold or above is checked exactly on the shingle hashes. Nothing is collected; the number of bands follows from the threshold alone.
 
 Defined cases: null and blank texts give no row; ids count once; texts with fewer words than a shingle have no shingles: they
 match only texts of the very same words if ``short`` is set, and nothing otherwise; exact copies are one class, expanded only
@@ -22,7 +22,10 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.base import distinct_texts, materialise, parallelism, spread, words
 
-BITS = 1024
+#: Length of a sketch in bits, and the least number of MinHash samples folded into it: more than the bands need, so that it is precise.
+BITS, SAMPLES = 2048, 384
+#: Classes of a bucket that one task compares with each other; larger buckets are divided into blocks of about so many.
+BLOCK = 256
 #: Up to so many class hashes (8 bytes each) are sent to all executors.
 BROADCAST_ROWS = 1_000_000
 
@@ -33,6 +36,16 @@ def banding(threshold: float, miss: float = 2e-4) -> tuple[int, int]:
     return rows, math.ceil(math.log(miss) / math.log(1 - threshold**rows))
 
 
+def most_differing(threshold: float, k: int, deviations: float = 4.0) -> float:
+    """Differing bits of two odd sketches of ``k`` samples that a pair at the threshold exceeds only beyond so many standard deviations.
+
+    d = 2 k (1 - J) samples differ on average; a share p = (1 - exp(-2 d / BITS)) / 2 of the bits then does. The deviation holds that of
+    the samples (binomial) and that of the bits."""
+    keep = math.exp(-4 * k * (1 - threshold) / BITS)
+    p = (1 - keep) / 2
+    return BITS * p + deviations * math.sqrt(4 * keep * keep * k * threshold * (1 - threshold) + BITS * p * (1 - p))
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -83,7 +96,7 @@ def signatures(texts: DataFrame, key: str, shingle: int, rows: int, bands: int,
     which have no arrays and share a class if their words are the same (the whole text stands for a word where there is none).
 
     A class that a task has met before comes without its arrays, so copies are combined before any shuffle."""
-    k = rows * bands
+    k = max(rows * bands, SAMPLES)
     rng = np.random.default_rng(20240229)
     a = (rng.integers(1, 2**32, k, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
     b = rng.integers(0, 2**32, k, dtype=np.uint64).astype(np.uint32)
@@ -113,7 +126,7 @@ def signatures(texts: DataFrame, key: str, shingle: int, rows: int, bands: int,
                     np.minimum(mins, (x[at : at + 4096, None] * a + b).min(0), out=mins)
                 with np.errstate(over="ignore"):
                     band = np.zeros(bands, np.uint64)
-                    m = mins.reshape(bands, rows).astype(np.uint64)
+                    m = mins[: rows * bands].reshape(bands, rows).astype(np.uint64)
                     for r in range(rows):
                         band = _mix(band * np.uint64(31) + m[:, r] + np.uint64(7))
                     bit = _mix(mins.astype(np.uint64) + seat) % np.uint64(BITS)
@@ -126,23 +139,35 @@ def signatures(texts: DataFrame, key: str, shingle: int, rows: int, bands: int,
     return spread(texts.select(key, "text"), key).mapInPandas(sign, f"`{key}` {kind}, class_hash long, n int, shingles array<long>, bands array<long>, sketch array<long>")
 
 
-def similar_classes(classes: DataFrame, threshold: float, k: int, margin: float = 0.15) -> DataFrame:
-    """(class_a, class_b, similarity) of all pairs of different classes that reach the threshold; class_a < class_b."""
+def candidate_pairs(classes: DataFrame) -> DataFrame:
+    """(class_a, class_b) of different classes that share a band; class_a < class_b.
+
+    A bucket of n classes is divided into B = ceil(n / BLOCK) blocks and its pairs into B x B cells, each of them joined by itself, so
+    that no task meets a whole hot bucket and no pair is lost: a pair meets in the one cell of its two blocks."""
+    parts = parallelism(classes.sparkSession)
     slots = classes.select("class_hash", F.posexplode("bands").alias("band", "h")).select(F.xxhash64("band", "h").alias("bucket"), "class_hash")
-    # partitioned by bucket once: the distinct rows and the self-join both keep that partitioning
-    slots = slots.repartition(parallelism(classes.sparkSession), "bucket").distinct()
-    pairs = slots.alias("x").join(slots.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.class_hash") < F.col("y.class_hash")))
-    pairs = materialise(pairs.select(F.col("x.class_hash").alias("class_a"), F.col("y.class_hash").alias("class_b")).distinct())
+    # partitioned by bucket once: the distinct rows, the sizes and their join keep that partitioning
+    slots = slots.repartition(parts, "bucket").distinct()
+    sizes = slots.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    placed = slots.join(sizes, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("class_hash"), F.col("blocks")).cast("int"))
+    placed = materialise(placed.select("bucket", "class_hash", "blocks", "own"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    x = placed.select("bucket", F.col("own").alias("i"), every.alias("j"), F.col("class_hash").alias("class_a"))
+    y = placed.select("bucket", every.alias("i"), F.col("own").alias("j"), F.col("class_hash").alias("class_b"))
+    return x.join(y, ["bucket", "i", "j"]).where("class_a < class_b").select("class_a", "class_b").distinct()
+
+
+def similar_classes(classes: DataFrame, threshold: float, k: int) -> DataFrame:
+    """(class_a, class_b, similarity) of all pairs of different classes that reach the threshold; class_a < class_b."""
+    pairs = materialise(candidate_pairs(classes))
     side = lambda df, s, *cols: df.select(F.col("class_hash").alias(f"class_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in cols])
     # first the sketches of all candidates, then the shingles of those that pass
     light = classes.select("class_hash", "n", "sketch").dropDuplicates(["class_hash"])
     told = pairs.join(side(light, "a", "n", "sketch"), "class_a").join(side(light, "b", "n", "sketch"), "class_b")
-    # of two sets that differ in d samples, a share p = (1 - exp(-2 d / BITS)) / 2 of the bits differ; d = 2 k (1 - J)
     differ = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
-    bits = BITS * (1 - math.exp(-4 * k * (1 - max(0.0, threshold - margin)) / BITS)) / 2
     least = F.least("n_a", "n_b") / F.greatest("n_a", "n_b")
-    likely = materialise(told.where((differ <= bits + 3 * math.sqrt(BITS) / 2) & (least >= threshold)).select("class_a", "class_b"))
-    ends = likely.select(F.col("class_a").alias("class_hash")).unionByName(likely.select(F.col("class_b").alias("class_hash"))).distinct().cache()
+    likely = materialise(told.where((differ <= most_differing(threshold, k)) & (least >= threshold)).select("class_a", "class_b"))
+    ends = likely.select(F.col("class_a").alias("class_hash")).unionByName(likely.select(F.col("class_b").alias("class_hash"))).distinct()
     few = F.broadcast(ends) if ends.count() <= BROADCAST_ROWS else ends
     heavy = classes.select("class_hash", "shingles").join(few, "class_hash", "left_semi").dropDuplicates(["class_hash"])
     both = likely.join(side(heavy, "a", "shingles"), "class_a").join(side(heavy, "b", "shingles"), "class_b")
@@ -160,7 +185,7 @@ class NearDuplicates:
         signed = materialise(signatures(distinct_texts(records, key, "text"), key, shingle, rows, bands, short))
         self.members = signed.select(key, "class_hash")
         self.classes = signed.where("bands is not null").drop(key)
-        self.links = materialise(similar_classes(self.classes, threshold, rows * bands))
+        self.links = materialise(similar_classes(self.classes, threshold, max(rows * bands, SAMPLES)))
 
     def pairs(self) -> DataFrame:
         """(key_a, key_b): every pair of keys that are versions of each other, key_a < key_b."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.llm import language, leakage, mcl, neardup, ocr, packing, quality, split, subjects, tokens
+from corpusloom.llm.base import LANGUAGE_NAMES
 from corpusloom.session import table
 
 LIMITS = {"corpus": ("id", 4000, 300), "metadata": ("chunk_id", 2000, 150)}
@@ -52,6 +53,11 @@ def p4_versions(spark, d):
     return neardup.NearDuplicates(table(spark, d, "corpus"), "id", short=True).versions()
 
 
+def p4_links(spark, d):
+    """How many other records each record with a shingle is a version of, at five words and 0.8."""
+    return neardup.NearDuplicates(table(spark, d, "corpus"), "id").versions().select("id", "links")
+
+
 def p5_token_budget(spark, d):
     pieces = tokens.read_pieces(table(spark, d, "tokenizer_vocab"))
     return tokens.token_cube(tokens.count_tokens(tokens.documents_with_slices(table(spark, d, "corpus")), "id", pieces))
@@ -113,7 +119,7 @@ def p10_found(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_segments, p2_found, p2_repaired, p3_found, p3_pieces, p4_found, p4_versions, p5_token_budget, p5_documents, p6_found,
+        p1_found, p1_segments, p2_found, p2_repaired, p3_found, p3_pieces, p4_found, p4_versions, p4_links, p5_token_budget, p5_documents, p6_found,
         p6_clusters, p6_described, p7_found, p7_statistics, p7_counts, p8_found, p8_containers, p9_found, p10_found,
     )
 }
@@ -144,6 +150,17 @@ def _tokens(table_: str, key: str) -> str:
     """
 
 
+def _slug(c: str) -> str:
+    s = rf"regexp_replace(lower(trim({c}, ' ')), '[\s_\-]+', '-', 'g')"
+    return f"coalesce(nullif({s}, ''), 'unknown')"
+
+
+def _language(c: str) -> str:
+    head = rf"regexp_extract(lower(trim({c}, ' ')), '^(\p{{L}}+)', 1)"
+    cases = " ".join(f"WHEN {head} IN ({', '.join(repr(n) for n in names)}) THEN '{code}'" for code, names in LANGUAGE_NAMES.items())
+    return f"CASE {cases} ELSE 'unknown' END"
+
+
 #: The cases of problem 3 are those of a length, which SQL states; its pieces are tested by round trips. Problems 4, 6 and 9 are
 #: stated over all pairs, which SQL can do on small tables only.
 SQL: dict[str, str] = {
@@ -157,6 +174,19 @@ SQL: dict[str, str] = {
         c AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.id < b.id GROUP BY ALL)
         SELECT id_a, id_b FROM c JOIN n x ON x.id = id_a JOIN n y ON y.id = id_b WHERE 2 * c >= x.n + y.n - c
     """,
+    "p4_links": f"""
+        WITH s AS MATERIALIZED {_grams("corpus", "id", 5)}, n AS (SELECT id, count(*) AS n FROM s WHERE id IS NOT NULL GROUP BY id),
+        c AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.id <> b.id GROUP BY ALL),
+        l AS (SELECT id_a AS id, count(*) AS links FROM c JOIN n x ON x.id = id_a JOIN n y ON y.id = id_b WHERE c >= 0.8 * (x.n + y.n - c) GROUP BY id_a)
+        SELECT id, coalesce(links, 0) AS links FROM n LEFT JOIN l USING (id)
+    """,
+    "p5_token_budget": _tokens("corpus", "id") + rf""",
+        named AS (SELECT id, {_slug("source")} AS source, {_slug("tradition")} AS tradition, {_language("language")} AS language FROM corpus WHERE id IS NOT NULL),
+        per_id AS (SELECT sizes.id, n_tokens, any_value(source) AS source, any_value(tradition) AS tradition, any_value(language) AS language FROM sizes JOIN named ON named.id = sizes.id GROUP BY ALL)
+        SELECT CASE WHEN grouping(source) = 1 THEN '(all)' ELSE source END AS source, CASE WHEN grouping(tradition) = 1 THEN '(all)' ELSE tradition END AS tradition,
+        CASE WHEN grouping(language) = 1 THEN '(all)' ELSE language END AS language, count(*)::BIGINT AS documents, sum(n_tokens)::BIGINT AS tokens
+        FROM per_id GROUP BY CUBE (source, tradition, language)
+    """,
     "p5_documents": _tokens("corpus", "id") + "SELECT id, n_tokens FROM sizes",
     "p6_found": """
         WITH v AS (SELECT chunk_id, any_value(list_transform(vector, lambda x: x::DOUBLE)) AS v FROM chunk_vectors WHERE vector IS NOT NULL GROUP BY chunk_id),

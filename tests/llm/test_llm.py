@@ -250,6 +250,33 @@ def test_near_duplicates(spark, size, threshold):
     assert neardup.NearDuplicates(df.limit(0), "id", size, threshold).pairs().count() == 0
 
 
+@pytest.mark.parametrize("threshold,low", [(0.5, 0.2), (0.8, 0.6)])
+def test_sketch_decides(spark, threshold, low):
+    """Sketches of pairs at the threshold pass, those of pairs well below do not: the exact check has little left to refuse."""
+    rng = random.Random(5)
+    rows, bands = neardup.banding(threshold)
+    k = max(rows * bands, neardup.SAMPLES)
+    texts, want = [], []
+    for n, j in enumerate([threshold + 0.01] * 60 + [low] * 60):
+        total = 400
+        shared = [f"s{n}x{rng.random()}" for _ in range(round(total * j))]
+        own = total - len(shared)
+        for side, m in (("a", own // 2), ("b", own - own // 2)):
+            texts.append((f"{n}{side}", " ".join([*shared, *[f"{side}{n}x{rng.random()}" for _ in range(m)]]).replace(".", "")))
+        want.append(j >= threshold)
+    signed = {r["id"]: np.array(r["sketch"], np.int64).view(np.uint64) for r in neardup.signatures(frame(spark, texts, "id string, text string"), "id", 1, rows, bands).collect()}
+    differ = [sum(int(x).bit_count() for x in signed[f"{n}a"] ^ signed[f"{n}b"]) for n in range(120)]
+    passed = [d <= neardup.most_differing(threshold, k) for d in differ]
+    assert all(passed[:60]) and sum(passed[60:]) <= 3
+
+
+def test_hot_buckets_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 7)
+    rows = [(c, [1, c]) for c in range(100)] + [(100 + c, [2, c]) for c in range(3)] + [(200, [999, 999])]
+    got = {tuple(r) for r in neardup.candidate_pairs(frame(spark, rows, "class_hash long, bands array<long>")).collect()}
+    assert got == {(a, b) for a, b in itertools.combinations(range(100), 2)} | {(c, 100 + c) for c in range(3)} | set(itertools.combinations(range(100, 103), 2))
+
+
 def test_short_texts_have_versions(spark):
     long = prose(random.Random(1))
     rows = [("a", "one two"), ("b", "One, two!"), ("c", "two one"), ("d", "..."), ("e", "..."), ("f", "!"), ("g", long), ("h", long), ("i", "one two three four"), ("n", None), ("m", " ")]
@@ -291,6 +318,11 @@ def test_piece_counter(text):
     assert tokens.PieceCounter(PIECES).count(text) == brute_tokens(text, PIECES)
 
 
+@given(st.lists(st.text(alphabet="abcd1 .,_\n\x00é", max_size=40), max_size=6))
+def test_count_batch(texts):
+    assert tokens.PieceCounter(PIECES).count_batch(texts).tolist() == [brute_tokens(t, PIECES) for t in texts]
+
+
 def test_token_cube(spark):
     rows = [("1", "ab c", "X ", "t", "en"), ("2", "abc", "x", "T", "English"), ("3", "zz", None, None, "??"), ("3", "zz", None, None, "??"), ("4", None, "x", "t", "en")]
     df = frame(spark, rows, "id string, text string, source string, tradition string, language string").withColumn("tokens", F.lit("clash"))
