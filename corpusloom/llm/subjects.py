@@ -2,16 +2,17 @@
 
 Every paragraph is voted on by labelling functions: two lexicon readers (share of hits, hits per sentence), one that demands
 several hits, one on the title (the address under which a text is filed), one on the neighbouring paragraphs (section) and
-one on the tradition (source). A latent model learns each function's accuracy and how often it abstains for each subject and
+one on the tradition and one on the source. A latent model learns each function's accuracy and how often it abstains for each subject and
 for *no subject*, by expectation-maximisation over the counts of vote patterns; patterns are few however many paragraphs there
-are. A document has the subjects of which at least a ``share`` of its paragraphs is, by posterior probability.
+are. A document has the subjects that, by the posterior probabilities of its paragraphs, are more likely than not the subject of at least a
+``share`` of them; the probability is that of a sum of independent events, computed exactly.
 
 The lexicon starts from a bounded sample of hand-labelled documents (``most_labels`` of least hash) and is then recounted over
 all paragraphs whose words agree on a subject. A word enters if a share ``rate`` of the paragraphs hold it, so the lexicon
 stays bounded however many there are.
 
 Defined cases: null and blank texts give no row; keys are unique, repeated rows count once; labels given twice or against each
-other all count; without labels nothing can be learned and no row results; null titles and traditions abstain; an empty table
+other all count; without labels nothing can be learned and no row results; null titles, traditions and sources abstain; an empty table
 gives an empty result; ties abstain; extra columns are ignored; texts of any length are read whole.
 """
 
@@ -31,7 +32,7 @@ from corpusloom.llm.language import VOTES
 
 _BLANK = re.compile(r"\n[^\S\n]*\n\s*")
 _STOP = re.compile(r"[.!?]+[\"'”’)]*\s")
-FUNCTIONS = ("words", "sentences", "several", "title", "section", "tradition")
+FUNCTIONS = ("words", "sentences", "several", "title", "section", "tradition", "source")
 
 
 def paragraphs(text: str) -> list[str]:
@@ -42,8 +43,8 @@ def paragraphs(text: str) -> list[str]:
 class Votes:
     """The labelling functions; a vote is a subject's number or -1 to abstain, ``none`` means that no subject is there."""
 
-    def __init__(self, lexicon: dict[str, tuple[int, float]], traditions: dict[str, int], n: int) -> None:
-        self.lexicon, self.traditions, self.n = lexicon, traditions, n
+    def __init__(self, lexicon: dict[str, tuple[int, float]], traditions: dict[str, int], n: int, sources: dict[str, int] | None = None) -> None:
+        self.lexicon, self.traditions, self.n, self.sources = lexicon, traditions, n, sources or {}
 
     def hits(self, ws: list[str]) -> dict[int, float]:
         h: dict[int, float] = {}
@@ -61,7 +62,7 @@ class Votes:
         k = min(h, key=lambda x: (-h[x], x))
         return k if h[k] >= least and h[k] >= lead * (sum(h.values()) - h[k]) else -1
 
-    def document(self, text: str, title: str | None, tradition: str | None) -> list[tuple[int, ...]]:
+    def document(self, text: str, title: str | None, tradition: str | None, source: str | None = None) -> list[tuple[int, ...]]:
         none = self.n
         low = text.lower()
         by_sentence = [[self.hits(WORD.findall(s)) for s in _STOP.split(p) if s.strip()] for p in paragraphs(low)]
@@ -73,7 +74,7 @@ class Votes:
                     whole[k] = whole.get(k, 0.0) + v
             h.append(whole)
         about = self._best(self.hits(WORD.findall(title.lower())), 0.5, 1.01) if title else -1
-        school = self.traditions.get(tradition or "", -1)
+        school, origin = self.traditions.get(tradition or "", -1), self.sources.get(source or "", -1)
         first = [self._best(x, 0.8, 1.01) if sum(x.values()) >= 0.4 else none for x in h]
         out = []
         for i, parts in enumerate(by_sentence):
@@ -86,7 +87,7 @@ class Votes:
             told = lead if named and named[lead] * 2 >= len(parts) else (none if sum(named.values()) * 4 <= len(parts) else -1)
             around = {first[j] for j in (i - 1, i + 1) if 0 <= j < len(first) and first[j] >= 0}
             section = around.pop() if len(around) == 1 else -1
-            out.append((first[i], told, self._best(h[i], 2.4, 2.0), about, section, school))
+            out.append((first[i], told, self._best(h[i], 2.4, 2.0), about, section, school, origin))
         return out
 
 
@@ -99,7 +100,7 @@ def fit_votes(patterns: np.ndarray, counts: np.ndarray, subjects: int, iteration
     p_, f_ = patterns.shape
     prior = np.full(k, 1 / k)
     acc = np.full((f_, 2), 0.0)
-    acc[:] = np.array([0.9, 0.9, 0.95, 0.6, 0.6, 0.4])[:f_, None]
+    acc[:] = np.array([0.9, 0.9, 0.95, 0.6, 0.6, 0.4, 0.4])[:f_, None]
     speak = np.full((f_, 2), 0.5)
     kind = np.array([0] * subjects + [1])
     post = np.zeros((p_, k))
@@ -162,36 +163,55 @@ class _Counts:
 
 
 def _lexicon(partial: DataFrame, subjects: int, rate: float, floor: int, least: float, lead: float) -> dict[str, tuple[int, float]]:
-    """Words that lean to one subject, from partial counts (lang, w, k, n); the word '' carries the totals."""
+    """Words that lean to one subject, from partial counts (lang, w, k, n); the word '' carries the totals.
+
+    Shares and leads are compared inside Spark; the driver gets languages x subjects totals and the chosen words, of which every one
+    stands in ``rate`` of the counted paragraphs or more."""
     counted = partial.groupBy("lang", "w", "k").agg(F.sum("n").alias("n")).where("n >= 2 or w = ''").cache()
     per = np.ones((len(_VOTERS), subjects))
     for r in counted.where("w = ''").collect():  # languages x subjects rows
         per[r["lang"], r["k"]] += r["n"]
     count = max(floor, math.ceil(per.sum() * rate))
-    rows = counted.where((F.col("w") != "") & (F.col("n") >= max(2, count // 20))).toPandas()  # at most 20 x words / rate rows
+    totals = partial.sparkSession.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(per)], "lang int, per array<double>")  # a row a language
+    words_ = counted.where((F.col("w") != "") & ~F.col("w").isin(sorted(_FUNCTION_WORDS)))
+    by = words_.groupBy("lang", "w").agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("m")).where(F.array_max(F.map_values("m")) >= count)
+    each = F.transform(F.sequence(F.lit(0), F.lit(subjects - 1)), lambda i: (F.coalesce(F.try_element_at("m", i), F.lit(0)) + 0.05) / (F.element_at("per", i + 1) + 1))
+    by = by.join(F.broadcast(totals), "lang").withColumn("r", each).withColumn("top", F.array_max("r")).withColumn("k", (F.array_position("r", F.col("top")) - 1).cast("int"))
+    by = by.withColumn("share", F.col("top") / F.aggregate("r", F.lit(0.0), lambda s, x: s + x)).withColumn("n", F.coalesce(F.try_element_at("m", "k"), F.lit(0)))
+    second = F.coalesce(F.array_max(F.filter("r", lambda x, i: i != F.col("k"))), F.lit(0.0))
+    fit = by.where((F.col("n") >= count) & (F.col("share") >= least) & (F.col("top") >= lead * second))
+    rows = fit.groupBy("w").agg(F.max_by(F.struct("k", "share"), F.struct("n", -F.col("lang"))).alias("x")).select("w", "x.k", "x.share").toPandas()  # the lexicon
     counted.unpersist()
-    table_: dict[tuple, np.ndarray] = {}
-    for lang, w, k, n in zip(rows["lang"], rows["w"], rows["k"], rows["n"]):
-        table_.setdefault((lang, w), np.zeros(subjects))[k] += n
-    out: dict[str, tuple[int, float]] = {}
-    best: dict[str, float] = {}
-    for (lang, w), n in table_.items():
-        if w in _FUNCTION_WORDS:
-            continue
-        r = (n + 0.05) / (per[lang] + 1)
-        k = int(r.argmax())
-        share = r[k] / r.sum()
-        if n[k] >= count and share >= least and r[k] >= lead * np.delete(r, k).max(initial=0) and n[k] > best.get(w, 0):
-            out[w], best[w] = (k, float(min(1.0, 0.6 + share / 2))), n[k]
-    return out
-
-
-def seed_lexicon(docs: DataFrame, labels: DataFrame, names: list[str], most_labels: int, key: str) -> tuple[dict[str, tuple[int, float]], dict[str, int]]:
-    """Words and traditions that lean to one subject in the labelled sample."""
+    return {w: (int(k), float(min(1.0, 0.6 + share / 2))) for w, k, share in zip(rows["w"], rows["k"], rows["share"])}
+
+
+def at_least(ns: list[int], qs: list[float], need: int) -> float:
+    """Probability that ``need`` or more of independent events come true, ``ns[i]`` of them with probability ``qs[i]`` each."""
+    pmf = np.ones(1)
+    for n, q in zip(ns, qs):
+        q = min(max(q, 1e-12), 1 - 1e-12)
+        i = np.arange(n + 1)
+        log = np.concatenate([[0.0], np.cumsum(np.log(np.arange(n, 0, -1.0) / np.arange(1, n + 1.0)))]) + i * math.log(q) + (n - i) * math.log1p(-q)
+        pmf = np.convolve(pmf, np.exp(log))
+    return float(pmf[need:].sum())
+
+
+def likely_subjects(ns: list[int], post: np.ndarray, share: float) -> list[tuple[int, float]]:
+    """(subject, expected share) of the subjects that are, more likely than not, those of at least a ``share`` of the paragraphs.
+
+    ``post`` has the posterior of each vote pattern over the subjects and, last, none; ``ns`` how many paragraphs show it."""
+    total = sum(ns)
+    need = math.ceil(share * total - 1e-9)
+    mean = np.asarray(ns) @ post[:, :-1]
+    return [(k, float(mean[k] / total)) for k in np.flatnonzero(mean >= 0.5 * need).tolist() if at_least(ns, post[:, k].tolist(), need) >= 0.5]  # below, Markov's bound rules it out
+
+
+def seed_lexicon(docs: DataFrame, labels: DataFrame, names: list[str], most_labels: int, key: str) -> tuple[dict[str, tuple[int, float]], dict[str, int], dict[str, int]]:
+    """Words, traditions and sources that lean to one subject in the labelled sample."""
     number = {s: i for i, s in enumerate(names)}
     sample = labels.select(key, "subject").where(F.col("subject").isin(names)).distinct().orderBy(F.xxhash64(key), key, "subject").limit(most_labels)
     one = sample.groupBy(key).agg(F.collect_set("subject").alias("labels"))
-    given = docs.select(key, "text", slug(F.col("tradition")).alias("tradition")).join(F.broadcast(one), key)  # at most most_labels rows
+    given = docs.select(key, "text", slug(F.col("tradition")).alias("tradition"), slug(F.col("source")).alias("source")).join(F.broadcast(one), key)  # at most most_labels rows
     n = len(names)
 
     def count(batches):
@@ -202,9 +222,12 @@ def seed_lexicon(docs: DataFrame, labels: DataFrame, names: list[str], most_labe
         yield c.frame(last=True)
 
     lexicon = _lexicon(given.mapInPandas(count, "lang int, w string, k int, n long"), n, 0.0, 3, 0.28, 1.7)
-    trad = given.where("tradition is not null").select("tradition", F.explode("labels").alias("subject")).groupBy("tradition", "subject").agg(F.count("*").alias("n")).toPandas()
-    leading = {t: number[g.loc[g["n"].idxmax(), "subject"]] for t, g in trad.groupby("tradition") if g["n"].max() >= 0.5 * g["n"].sum()}
-    return lexicon, leading
+
+    def leading(c: str) -> dict[str, int]:
+        n = given.where(F.col(c).isNotNull()).select(c, F.explode("labels").alias("subject")).groupBy(c, "subject").agg(F.count("*").alias("n")).toPandas()  # of the sample
+        return {t: number[g.loc[g["n"].idxmax(), "subject"]] for t, g in n.groupby(c) if g["n"].max() >= 0.5 * g["n"].sum()}
+
+    return lexicon, leading("tradition"), leading("source")
 
 
 def recount(docs: DataFrame, lexicon: dict, subjects: int, rate: float, key: str) -> dict[str, tuple[int, float]]:
@@ -227,47 +250,49 @@ def recount(docs: DataFrame, lexicon: dict, subjects: int, rate: float, key: str
 
 
 def paragraph_votes(docs: DataFrame, votes: Votes, key: str) -> DataFrame:
-    """(key, votes array, n): how many paragraphs of each document got which votes."""
+    """(key, votes, n): the vote patterns of the paragraphs of each document and how many paragraphs show each."""
 
     def vote(batches):
         for pdf in batches:
             rows = []
-            for ident, text, title, tradition in zip(pdf[key], pdf["text"], pdf["title"], pdf["tradition"]):
-                for v, n in Counter(votes.document(text, title, tradition)).items():
-                    rows.append((ident, list(v), n))
+            for ident, text, title, tradition, source in zip(pdf[key], pdf["text"], pdf["title"], pdf["tradition"], pdf["source"]):
+                found = Counter(votes.document(text, title, tradition, source))
+                if found:
+                    rows.append((ident, [list(v) for v in found], list(found.values())))
             yield pd.DataFrame(rows, columns=[key, "votes", "n"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.mapInPandas(vote, f"`{key}` {kind}, votes array<int>, n int")
+    return docs.mapInPandas(vote, f"`{key}` {kind}, votes array<array<int>>, n array<int>")
 
 
 def document_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, key: str = "doc_id", share: float = 0.25, most_labels: int = 20_000, rate: float = 1 / 10_000, rounds: int = 2) -> DataFrame:
-    """(key, subject, share): subjects with at least a ``share`` of the document's paragraphs, and that share."""
+    """(key, subject, share): subjects with at least a ``share`` of the document's paragraphs, and the share to be expected."""
     spark = docs.sparkSession
     names = sorted(r["subject"] for r in subjects.select("subject").where("subject is not null").distinct().collect())
     kind = docs.schema[key].dataType.simpleString()
     empty = spark.createDataFrame([], f"`{key}` {kind}, subject string, share double")
-    rows = docs.select(key, "text", "title", "tradition").where(F.col(key).isNotNull() & not_blank(F.col("text")))
-    lexicon, traditions = seed_lexicon(rows, labels, names, most_labels, key)
+    rows = docs.select(key, "text", "title", "tradition", "source").where(F.col(key).isNotNull() & not_blank(F.col("text")))
+    lexicon, traditions, sources = seed_lexicon(rows, labels, names, most_labels, key)
     if not lexicon:
         return empty
-    wide = balanced(rows.withColumn("tradition", slug(F.col("tradition"))), key)
+    wide = balanced(rows.withColumn("tradition", slug(F.col("tradition"))).withColumn("source", slug(F.col("source"))), key)
     for _ in range(rounds):
         lexicon = recount(wide, lexicon, len(names), rate, key) or lexicon
-    voted = materialise(paragraph_votes(wide, Votes(lexicon, traditions, len(names)), key))
-    seen = voted.groupBy("votes").agg(F.sum("n").alias("n")).toPandas()  # at most (subjects + 2) ^ functions patterns
+    voted = materialise(paragraph_votes(wide, Votes(lexicon, traditions, len(names), sources), key))
+    each = voted.select(F.explode(F.arrays_zip("votes", "n")).alias("x")).select(F.col("x.votes").alias("votes"), F.col("x.n").alias("n"))
+    seen = each.groupBy("votes").agg(F.sum("n").alias("n")).toPandas()  # the patterns: votes of the functions, however many paragraphs there are
     if not len(seen):
         return empty
     patterns = np.array(seen["votes"].tolist())
     post, _ = fit_votes(patterns, seen["n"].to_numpy(float), len(names))
-    best = {tuple(p): int(q.argmax()) for p, q in zip(patterns.tolist(), post)}
+    of = {tuple(p): q for p, q in zip(patterns.tolist(), post)}
 
     def decide(batches):
         for pdf in batches:
-            k = [best[tuple(v)] for v in pdf["votes"]]
-            yield pd.DataFrame({key: pdf[key], "subject": [names[i] if i < len(names) else None for i in k], "n": pdf["n"]})
+            out = []
+            for ident, votes, ns in zip(pdf[key], pdf["votes"], pdf["n"]):
+                found = likely_subjects([int(n) for n in ns], np.array([of[tuple(v)] for v in votes]), share)
+                out += [(ident, names[k], x) for k, x in found]
+            yield pd.DataFrame(out, columns=[key, "subject", "share"])
 
-    told = voted.mapInPandas(decide, f"`{key}` {kind}, subject string, n int").groupBy(key, "subject").agg(F.sum("n").alias("n"))
-    whole = told.groupBy(key).agg(F.sum("n").alias("total"))
-    out = told.where("subject is not null").join(whole, key)
-    return out.where(F.col("n") >= share * F.col("total")).select(key, "subject", (F.col("n") / F.col("total")).alias("share"))
+    return voted.mapInPandas(decide, f"`{key}` {kind}, subject string, share double").dropDuplicates([key, "subject"])

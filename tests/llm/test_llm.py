@@ -610,20 +610,35 @@ def test_subjects(spark):
         kinds = [rng.choice([*FIELDS, None])] * rng.randrange(2, 5)
         if i % 4 == 0:
             kinds += [rng.choice(list(FIELDS))] * 2
-        docs.append((i, "\n \n".join(paragraph(rng, k) for k in kinds), None if i % 5 else "A Book", None))
+        docs.append((i, "\n \n".join(paragraph(rng, k) for k in kinds), None if i % 5 else "A Book", None, f"s{i % 3}"))
         n = Counter(kinds)
         truth |= {(i, k) for k, c in n.items() if k and c * 4 >= len(kinds)}
         if i % 4 and kinds[0] and i < 120:
             labels.append((i, kinds[0], "r"))
     labels += [labels[0], (labels[1][0], "baking", "r"), (9999, "mining", "r"), (3, None, "r")]
-    docs += [(800, None, None, None), (801, "  ", "x", "y")]
-    d = frame(spark, docs, "doc_id long, text string, title string, tradition string").withColumn("subject", F.lit("clash"))
+    docs += [(800, None, None, None, None), (801, "  ", "x", "y", "z")]
+    d = frame(spark, docs, "doc_id long, text string, title string, tradition string, source string").withColumn("subject", F.lit("clash"))
     lab, sub = frame(spark, labels, "doc_id long, subject string, reader string"), frame(spark, [(k,) for k in FIELDS], "subject string")
     got = {(r["doc_id"], r["subject"]) for r in subjects.document_subjects(d, lab, sub).collect()}
     assert len(got & truth) / len(truth) > 0.97 and len(got & truth) / len(got) > 0.97
     assert subjects.document_subjects(d.limit(0), lab, sub).count() == 0 and subjects.document_subjects(d, lab.limit(0), sub).count() == 0
 
 
+@given(st.lists(st.tuples(st.integers(1, 3), st.floats(0, 1)), min_size=1, max_size=4), st.integers(1, 8))
+def test_at_least(events, need):
+    qs = [q for n, q in events for _ in range(n)]
+    want = sum(np.prod([q if x else 1 - q for x, q in zip(xs, qs)]) for xs in itertools.product([0, 1], repeat=len(qs)) if sum(xs) >= need)
+    assert abs(subjects.at_least([n for n, _ in events], [q for _, q in events], need) - want) < 1e-6
+
+
+def test_likely_subjects():
+    post = np.array([[0.9, 0.05, 0.05], [0.1, 0.2, 0.7], [0.0, 0.55, 0.45]])
+    for ns in ([1, 3, 0], [2, 5, 4], [1, 1, 2], [400, 900, 300]):
+        found = {k for k, _ in subjects.likely_subjects(ns, post, 0.25)}
+        assert found == {k for k in (0, 1) if subjects.at_least(ns, post[:, k].tolist(), -(-sum(ns) // 4)) >= 0.5}
+    assert subjects.likely_subjects([3], np.array([[0.2, 0.8]]), 0.25) == []
+
+
 def test_label_model_learns_accuracy():
     rng = np.random.default_rng(1)
     y = rng.integers(0, 5, 4000)  # 4 subjects and none
