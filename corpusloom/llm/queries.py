@@ -44,6 +44,17 @@ def p3_pieces(spark, d):
     return _pieces(spark, d)
 
 
+def p3_rebuilt(spark, d):
+    """Of every oversized text: whether all pieces keep the limit and overlap, and a hash of the text put together again from them."""
+    p = _pieces(spark, d)
+    limit = F.when(F.col("table_name") == "corpus", LIMITS["corpus"][1]).otherwise(LIMITS["metadata"][1])
+    overlap = F.when(F.col("table_name") == "corpus", LIMITS["corpus"][2]).otherwise(LIMITS["metadata"][2])
+    ok = (F.length("text") <= limit) & (F.col("overlap_chars") <= overlap) & ((F.col("overlap_chars") > 0) == (F.col("piece_no") > 0))
+    own = F.struct("piece_no", F.expr("substring(text, overlap_chars + 1)").alias("t"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(own)), lambda x: x["t"]), "")
+    return p.groupBy("table_name", "item_key").agg(F.min(ok).alias("kept"), (F.max("n_pieces") == F.count("*")).alias("all_there"), F.md5(whole).alias("text_md5"))
+
+
 def p4_found(spark, d):
     return neardup.NearDuplicates(table(spark, d, "corpus"), "id", shingle=3, threshold=0.5).pairs()
 
@@ -108,6 +119,18 @@ def p8_containers(spark, d):
     return _packed(spark, d)
 
 
+def p8_checked(spark, d):
+    """Of every document with tokens: its size, whether all its containers keep their capacity and whether its pieces are all there, in order, once."""
+    p = _packed(spark, d)
+    load = p.groupBy("container").agg(F.sum("tokens").alias("load"))
+    each = p.join(load, "container").groupBy("doc_id").agg(
+        F.sum("tokens").alias("n_tokens"), (F.max("load") <= 1024).alias("fits"),
+        F.array_sort(F.collect_list(F.struct("piece_no", "start", "end"))).alias("x"), F.max("n_pieces").alias("n_pieces"),
+    )
+    follows = F.forall(F.sequence(F.lit(0), F.col("n_pieces") - 1), lambda i: (F.get("x", i)["piece_no"] == i) & ((i == 0) | (F.get("x", i)["start"] >= F.get("x", i - 1)["end"])))
+    return each.select("doc_id", "n_tokens", "fits", ((F.size("x") == F.col("n_pieces")) & follows).alias("whole"))
+
+
 def p9_found(spark, d):
     return leakage.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
 
@@ -119,8 +142,8 @@ def p10_found(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_segments, p2_found, p2_repaired, p3_found, p3_pieces, p4_found, p4_versions, p4_links, p5_token_budget, p5_documents, p6_found,
-        p6_clusters, p6_described, p7_found, p7_statistics, p7_counts, p8_found, p8_containers, p9_found, p10_found,
+        p1_found, p1_segments, p2_found, p2_repaired, p3_found, p3_pieces, p3_rebuilt, p4_found, p4_versions, p4_links, p5_token_budget, p5_documents, p6_found,
+        p6_clusters, p6_described, p7_found, p7_statistics, p7_counts, p8_found, p8_containers, p8_checked, p9_found, p10_found,
     )
 }
 
@@ -169,6 +192,11 @@ SQL: dict[str, str] = {
         UNION ALL
         SELECT DISTINCT 'metadata', chunk_id FROM metadata WHERE length(text) > 2000 AND chunk_id IS NOT NULL
     """,
+    "p3_rebuilt": """
+        SELECT DISTINCT 'corpus' AS table_name, id AS item_key, true AS kept, true AS all_there, md5(text) AS text_md5 FROM corpus WHERE length(text) > 4000 AND id IS NOT NULL
+        UNION ALL
+        SELECT DISTINCT 'metadata', chunk_id, true, true, md5(text) FROM metadata WHERE length(text) > 2000 AND chunk_id IS NOT NULL
+    """,
     "p4_found": f"""
         WITH s AS MATERIALIZED {_grams("corpus", "id", 3)}, n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
         c AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.id < b.id GROUP BY ALL)
@@ -201,5 +229,6 @@ SQL: dict[str, str] = {
         FROM (SELECT id, any_value(text) AS text FROM corpus WHERE id IS NOT NULL AND regexp_matches(text, '[^{_SPACE}]') GROUP BY id)
     """,
     "p8_found": _tokens("documents", "doc_id") + "SELECT doc_id FROM sizes WHERE n_tokens > 1024",
+    "p8_checked": _tokens("documents", "doc_id") + "SELECT doc_id, n_tokens, true AS fits, true AS whole FROM sizes WHERE n_tokens > 0",
     "p9_found": f"SELECT DISTINCT doc_id, item_id FROM {_grams('documents', 'doc_id', 12)} d JOIN {_grams('eval_items', 'item_id', 12)} e USING (g)",
 }

@@ -539,10 +539,38 @@ def test_pack(spark):
 
 def test_packing_prefers_like_items():
     bags = [["salt", "fire"] * 5, ["salt", "fire"] * 5, ["rain", "wind"] * 5, ["rain", "wind"] * 5, ["snow"] * 10, ["mist"] * 10]
-    box = packing.pack_items(np.array([10] * 6), bags, 20)
+    terms, counts, _ = zip(*[packing.bag(" ".join(b)) for b in bags])
+    box = packing.pack_items(np.array([10] * 6), list(terms), list(counts), 20)
     assert box[0] == box[1] and box[2] == box[3]
 
 
+@given(st.lists(st.lists(st.integers(0, 12), max_size=20), min_size=1, max_size=8))
+def test_bm25_index(bags):
+    """Scores by postings are those of the formula, item by item."""
+    held = [Counter(b) for b in bags]
+    terms, counts = [np.array(sorted(h), np.int32) for h in held], [np.array([h[t] for t in sorted(h)], np.int32) for h in held]
+    index, n, mean = packing.BM25Index(terms, counts), len(bags), max(1.0, sum(map(len, bags)) / len(bags))
+    for seed in range(n):
+        want = np.zeros(n)
+        for t in held[seed]:
+            df = sum(t in h for h in held)
+            if 2 <= df <= max(2, n // 2):
+                for i, h in enumerate(held):
+                    if t in h:
+                        want[i] += np.log(1 + (n - df + 0.5) / (df + 0.5)) * h[t] * 2.2 / (h[t] + 1.2 * (0.25 + 0.75 * len(bags[i]) / mean))
+        assert np.allclose(index.scores(terms[seed]), want)
+
+
+def test_like_items_share_shards(spark):
+    """Texts of two kinds come to different shards of a bounded size, also where one kind holds most rows."""
+    rng = random.Random(2)
+    word = {k: [f"{k}{c}{d}" for c in "abcdefg" for d in "hijk"] for k in ("salt", "rain")}
+    rows = [(i, " ".join(rng.choices(word["salt" if i % 4 else "rain"], k=30))) for i in range(800)]
+    out = packing.pack_documents(frame(spark, rows, "doc_id long, text string"), {"salt"}, shard_rows=100, cells=4).toPandas()
+    kinds = out.assign(kind=out["doc_id"] % 4 > 0).groupby("shard")["kind"].mean()
+    assert ((kinds < 0.05) | (kinds > 0.95)).mean() >= 0.8 and out.groupby("shard").size().max() <= 160
+
+
 # ---- 9 leakage --------------------------------------------------------------------------------------------------------------------------------------
 
 
