@@ -1,10 +1,11 @@
 """Problem 6: clusters of chunks by Markov clustering of a similarity graph of their vectors.
 
-Graph: equal vectors are collapsed; the rest are hashed by random hyperplanes into buckets of several tables, whose number
-follows from the wanted recall; inside a bucket all cosines are computed block by block and each vector keeps its strongest
-links. Markov clustering alternates squaring of the column-stochastic flow matrix, inflation and pruning of small entries.
+Graph: equal vectors are collapsed; the rest are hashed by cross-polytopes into buckets of several tables, whose number follows
+from the wanted recall at the very threshold; inside a bucket all cosines are computed block by block. In a crowded bucket a vector
+keeps its 40 strongest links for the flow and a few others, which lead to the common check below. Markov clustering alternates
+squaring of the column-stochastic flow matrix, inflation and pruning of small entries until the flow settles.
 The matrix is block-diagonal over the connected components of the graph, so components up to ``block`` nodes are squared as
-dense blocks, many per task; larger ones by joins of the sparse entries across the cluster. Attractor rows name the clusters.
+dense blocks, many per task; larger ones by the same steps as joins of the sparse entries across the cluster. Attractor rows name the clusters.
 At last every cluster is checked against the vectors: it is divided into sets of members that are all similar to each other, and
 sets of different Markov clusters with a link between them are checked together if their means allow it.
 
@@ -29,14 +30,49 @@ from corpusloom.llm.components import components
 SLACK = 0.015
 
 
-def tables_for(rows: int, cosine: float, recall: float = 0.8) -> tuple[int, int]:
-    """(bits, tables): buckets hold about 16 unrelated vectors, and two vectors at ``cosine`` share one with at least ``recall``.
-
-    A cluster needs no single link: of ten vectors that are similar to each other, one is without any link with a probability
-    of (1 - recall)^9, and the last check works on vectors, not on links."""
-    bits = max(4, math.ceil(math.log2(max(2, rows) / 16)))
-    p = (1 - math.acos(min(1.0, cosine)) / math.pi) ** bits
-    return bits, math.ceil(math.log(1 - recall) / math.log(1 - p))
+#: A bucket holds at most about so many unrelated vectors.
+BUCKET = 128
+#: Rows of a bucket that one task compares with each other; larger buckets are divided into cells of two blocks of about so many.
+BLOCK = 4096
+
+
+class Directions:
+    """Cross-polytope hashing: a hash is the axis of a random rotation next to the vector, with its sign.
+
+    ``parts`` rotations into so many dimensions each make a code of about log2(rows / BUCKET) bits; ``tables`` codes are made, so that
+    two vectors at ``cosine`` share one with a probability of ``recall`` at least. The chance of one code is measured on random
+    pairs at that cosine."""
+
+    def __init__(self, rows: int, dims: int, cosine: float, recall: float = 0.95, seed: int = 61) -> None:
+        rng = np.random.default_rng(seed)
+        bits = max(1, math.ceil(math.log2(max(2, rows) / BUCKET)))
+        full = max(1, int(math.log2(2 * dims)))
+        self.parts = [full] * (bits // full) + [bits % full] * (bits % full > 0)
+        x = rng.standard_normal((20_000, dims))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        y = rng.standard_normal(x.shape)
+        y -= (y * x).sum(1, keepdims=True) * x
+        y = cosine * x + math.sqrt(max(0.0, 1 - cosine * cosine)) * y / np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-9)
+        chance = {p: max(1e-3, float((self.axis(x, r) == self.axis(y, r)).mean())) for p in set(self.parts) for r in [rng.standard_normal((dims, 1 << p >> 1))]}
+        p = math.prod(chance[q] for q in self.parts)
+        self.tables = 1 if p >= recall else math.ceil(math.log(1 - recall) / math.log(1 - p))
+        self.rotations = [[rng.standard_normal((dims, 1 << q >> 1)).astype(np.float32) for q in self.parts] for _ in range(self.tables)]
+
+    @staticmethod
+    def axis(x: np.ndarray, rotation: np.ndarray) -> np.ndarray:
+        y = x @ rotation
+        k = np.abs(y).argmax(1)
+        return 2 * k + (y[np.arange(len(y)), k] > 0)
+
+    def codes(self, x: np.ndarray) -> np.ndarray:
+        """(rows, tables): the bucket of each row of unit vectors in each table."""
+        out = np.empty((len(x), self.tables), np.int64)
+        for t, parts in enumerate(self.rotations):
+            code = np.full(len(x), t, np.int64)
+            for q, r in zip(self.parts, parts):
+                code = (code << q) + self.axis(x, r)
+            out[:, t] = code
+        return out
 
 
 def unit_vectors(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -51,17 +87,17 @@ def unit_vectors(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def _bucket_arrays(batches):
-    """(codes, ids, unit vectors) of whole buckets from the sorted rows of a partition."""
+    """(cells, ids, unit vectors, sides) of whole cells from the sorted rows of a partition."""
     rest: tuple | None = None
     for pdf in batches:
         if not len(pdf):
             continue
         x = np.frombuffer(b"".join(pdf["q"]), np.int8).reshape(len(pdf), -1).astype(np.float32)
         x /= np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-9)
-        now = (pdf["bucket"].to_numpy(), pdf["node"].to_numpy(), x)
+        now = (pdf["cell"].to_numpy(), pdf["node"].to_numpy(), x, pdf["side"].to_numpy())
         if rest is not None:
             now = tuple(np.concatenate(p) for p in zip(rest, now))
-        last = int(np.searchsorted(now[0], now[0][-1]))  # the last bucket may go on in the next batch
+        last = int(np.searchsorted(now[0], now[0][-1]))  # the last cell may go on in the next batch
         if last:
             yield tuple(p[:last] for p in now)
         rest = tuple(p[last:] for p in now)
@@ -69,13 +105,16 @@ def _bucket_arrays(batches):
         yield rest
 
 
-def strongest_links(x: np.ndarray, least: float, strongest: int, block: int, others: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def strongest_links(x: np.ndarray, least: float, strongest: int, block: int, others: int = 3, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(i, j, cosine, strong) of the pairs of rows of unit vectors at ``least`` or more; a row with more than ``strongest`` such
     partners keeps the strongest (a pair stays if it is among those of either row) and, as links that are not strong, ``others``
-    more, the first of its partners in random orders of all rows. Blocks bound the memory."""
+    more, the first of its partners in random orders of all rows. With ``side`` only rows of different sides are paired. Blocks bound
+    the memory."""
     n = len(x)
     if n <= block:
         s = x @ x.T
+        if side is not None:
+            s[side[:, None] == side[None]] = -1
         i, j = np.nonzero(s >= least)
         keep = i < j
         if np.bincount(i, minlength=n).max(initial=0) <= strongest + 1:
@@ -93,6 +132,8 @@ def strongest_links(x: np.ndarray, least: float, strongest: int, block: int, oth
             s = x[a : a + block] @ x[b : b + block].T
             if a == b:
                 np.fill_diagonal(s, -1)
+            if side is not None:
+                s[side[a : a + block, None] == side[None, b : b + block]] = -1
             m = min(strongest, s.shape[1])
             top = np.argpartition(-s, m - 1, axis=1)[:, :m]
             cat_s, cat_j = np.concatenate([best_s, np.take_along_axis(s, top, 1)], 1), np.concatenate([best_j, top + b], 1)
@@ -118,37 +159,49 @@ def _frame(src: list, dst: list, w: list, strong: list) -> pd.DataFrame:
     return out.sort_values("strong", ascending=False, kind="stable").drop_duplicates(["src", "dst"])
 
 
-def similar_pairs(nodes: DataFrame, cosine: float, strongest: int = 40, block: int = 2048, total: int | None = None) -> DataFrame:
-    """(src, dst, w, strong) with src < dst: links found in shared buckets; each vector keeps its ``strongest`` ones of a bucket
-    and a few others, which are not strong."""
+def in_cells(buckets: DataFrame, most: int) -> DataFrame:
+    """(cell, side, node, q) of (bucket, node, q): a bucket of more than ``most`` rows is divided into blocks, and every two blocks meet in
+    a cell of their own (as its two sides), so that no task meets a whole hot bucket and no pair is lost."""
+    sizes = materialise(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > most))
+    plain = lambda df: df.select(F.col("bucket").alias("cell"), F.lit(0).alias("side"), "node", "q")
+    hot = sizes.count()
+    if not hot:
+        return plain(buckets)
+    sizes = F.broadcast(sizes) if hot <= 100_000 else sizes
+    own, j = F.col("own"), F.col("j")
+    wide = buckets.join(sizes, "bucket").withColumn("blocks", F.ceil(F.col("n") / most).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    wide = wide.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = wide.select(F.xxhash64("bucket", F.least(own, j), F.greatest(own, j)).alias("cell"), F.when(own == j, 0).when(own < j, 1).otherwise(2).alias("side"), "node", "q")
+    return plain(buckets.join(sizes, "bucket", "left_anti")).unionByName(cells)
+
+
+def similar_pairs(nodes: DataFrame, cosine: float, strongest: int = 40, block: int = 2048, total: int | None = None, recall: float = 0.95, most: int = BLOCK) -> DataFrame:
+    """(src, dst, w, strong) with src < dst: links found in shared buckets, each with a probability of ``recall`` at the threshold and more
+    above; a vector with more than ``strongest`` links in a bucket keeps those and a few others, which are not strong."""
     n = nodes.count() if total is None else total
-    bits, tables = tables_for(n, max(cosine, 0.9))
+    first = nodes.select(F.size("v").alias("d")).first()
+    directions = Directions(n, first["d"] if first else 1, cosine, recall)
     spark = nodes.sparkSession
 
     def buckets(batches):
-        planes = None
         for pdf in batches:
             if not len(pdf):
                 continue
             x = np.stack(pdf["v"].to_numpy()).astype(np.float32)
-            if planes is None:
-                planes = np.random.default_rng(61).standard_normal((x.shape[1], bits * tables)).astype(np.float32)
-            side = (x @ planes > 0).reshape(len(x), tables, bits)
-            code = (side * (1 << np.arange(bits, dtype=np.int64))).sum(2) + (np.arange(tables, dtype=np.int64) << 40)
-            small = np.clip(np.rint(x * 127), -127, 127).astype(np.int8)
-            packed = [r.tobytes() for r in small]
+            code = directions.codes(x)
+            packed = [r.tobytes() for r in np.clip(np.rint(x * 127), -127, 127).astype(np.int8)]
             ids = pdf["node"].to_numpy()
-            for t in range(tables):
+            for t in range(code.shape[1]):
                 yield pd.DataFrame({"bucket": code[:, t], "node": ids, "q": packed})
 
     def links(batches):
         src, dst, w, strong, held = [], [], [], [], 0
-        for codes, ids, x in _bucket_arrays(batches):
+        for codes, ids, x, sides in _bucket_arrays(batches):
             cuts = np.flatnonzero(codes[1:] != codes[:-1]) + 1
             for a, b in zip(np.append(0, cuts).tolist(), np.append(cuts, len(codes)).tolist()):
                 if b - a < 2:
                     continue
-                i, j, s, kind = strongest_links(x[a:b], cosine - SLACK, strongest, block)
+                i, j, s, kind = strongest_links(x[a:b], cosine - SLACK, strongest, block, side=sides[a:b] if sides[a] else None)
                 if len(i):
                     u, v = ids[a:b][i], ids[a:b][j]
                     src.append(np.minimum(u, v))
@@ -156,16 +209,16 @@ def similar_pairs(nodes: DataFrame, cosine: float, strongest: int = 40, block: i
                     w.append(s)
                     strong.append(kind)
                     held += len(i)
-            if held > 200_000:
+            if held > 1_000_000:
                 yield _frame(src, dst, w, strong)
                 src, dst, w, strong, held = [], [], [], [], 0
         if held:
             yield _frame(src, dst, w, strong)
 
-    spread_ = nodes.select("node", "v").repartition(parallelism(spark), "node").mapInPandas(buckets, "bucket long, node long, q binary")
+    rows = nodes.select("node", "v").repartition(parallelism(spark), "node").mapInPandas(buckets, "bucket long, node long, q binary")
     # as many tasks as hold some hundred thousand bucket rows each
-    parts = max(parallelism(spark), math.ceil(n * tables / 400_000))
-    found = spread_.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInPandas(links, "src long, dst long, w double, strong boolean")
+    parts = max(parallelism(spark), math.ceil(n * directions.tables / 400_000))
+    found = in_cells(rows, most).repartition(parts, "cell").sortWithinPartitions("cell").mapInPandas(links, "src long, dst long, w double, strong boolean")
     found = found.groupBy("src", "dst").agg(F.max("w").alias("w"), F.max("strong").alias("strong"))
     return exact_links(materialise(found), nodes, cosine)
 
@@ -181,19 +234,24 @@ def exact_links(found: DataFrame, nodes: DataFrame, cosine: float, slack: float
     return materialise(found.where(F.col("w") >= cosine + slack).unionByName(told))
 
 
-def mcl_block(n: int, i: np.ndarray, j: np.ndarray, w: np.ndarray, inflation: float, prune: float, rounds: int = 60) -> tuple[np.ndarray, np.ndarray]:
+#: Rounds of squaring at most, and the largest move of an entry at which the flow has settled.
+ROUNDS, SETTLED = 40, 1e-5
+
+
+def mcl_block(n: int, i: np.ndarray, j: np.ndarray, w: np.ndarray, inflation: float, prune: float) -> tuple[np.ndarray, np.ndarray]:
     """(attractor, flow into it) of the n nodes of one component by dense squaring."""
     m = np.zeros((n, n))
     m[i, j] = w
     m[j, i] = w
     m[np.arange(n), np.arange(n)] = 1.0
     m /= m.sum(0)
-    for _ in range(rounds):
+    for _ in range(ROUNDS):
         new = m @ m
         np.power(new, inflation, out=new)
-        new[new < prune] = 0
-        new /= np.maximum(new.sum(0), 1e-300)
-        done = np.abs(new - m).max() < 1e-6
+        new /= new.sum(0)
+        new[(new < prune) & (new < new.max(0))] = 0
+        new /= new.sum(0)
+        done = np.abs(new - m).max() < SETTLED
         m = new
         if done:
             break
@@ -202,32 +260,31 @@ def mcl_block(n: int, i: np.ndarray, j: np.ndarray, w: np.ndarray, inflation: fl
     return at, m[at, np.arange(n)]
 
 
-def mcl_sparse(entries: DataFrame, inflation: float, prune: float, per_column: int, rounds: int = 12) -> DataFrame:
-    """(node, attractor, flow) for components too large for a block: the matrix is squared by a join of its sparse entries.
+def mcl_sparse(entries: DataFrame, inflation: float, prune: float) -> DataFrame:
+    """(node, attractor, flow) for components too large for a block: the same steps, by joins of the sparse entries.
 
-    Small-entry pruning keeps the ``per_column`` largest flows of a column, as in the published algorithm."""
+    Small-entry pruning leaves at most 1 / prune entries of a column. Partial sums are combined before each shuffle."""
 
     def normal(df: DataFrame) -> DataFrame:
-        return df.join(df.groupBy("j").agg(F.sum("w").alias("t")), "j").select("i", "j", (F.col("w") / F.col("t")).alias("w"))
+        return df.join(df.groupBy("j").agg(F.sum("w").alias("t"), F.max("w").alias("best")), "j").select("i", "j", (F.col("w") / F.col("t")).alias("w"), (F.col("best") / F.col("t")).alias("best"))
 
     loops = entries.select(F.col("j").alias("i"), "j").distinct().withColumn("w", F.lit(1.0))
-    m = materialise(normal(entries.select("i", "j", "w").unionByName(loops)))
-    rank = F.row_number().over(Window.partitionBy("j").orderBy(F.desc("w"), "i"))
-    for _ in range(rounds):
+    m = materialise(normal(entries.select("i", "j", "w").unionByName(loops)).drop("best"))
+    for _ in range(ROUNDS):
         left = m.select("i", F.col("j").alias("k"), F.col("w").alias("a"))
         right = m.select(F.col("i").alias("k"), "j", F.col("w").alias("b"))
         squared = left.join(right, "k").groupBy("i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("w"))
-        grown = squared.withColumn("w", F.pow("w", F.lit(inflation)))
-        kept = normal(grown).withColumn("r", rank).where((F.col("r") <= per_column) & ((F.col("w") >= prune) | (F.col("r") == 1))).drop("r")
-        new = materialise(normal(kept))
+        grown = normal(squared.withColumn("w", F.pow("w", F.lit(inflation))))
+        new = materialise(normal(grown.where((F.col("w") >= prune) | (F.col("w") >= F.col("best"))).drop("best")).drop("best"))
         move = new.join(m.withColumnRenamed("w", "old"), ["i", "j"], "full").agg(F.max(F.abs(F.coalesce("w", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))).first()[0]
         m = new
-        if move is None or move < 1e-4:
+        if move is None or move < SETTLED:
             break
-    return m.groupBy("j").agg(F.max_by("i", F.struct("w", (-F.col("i")).alias("o"))).alias("attractor"), F.max("w").alias("flow")).select(F.col("j").alias("node"), "attractor", "flow")
+    near = m.join(m.groupBy("j").agg(F.max("w").alias("best")), "j").where(F.col("w") >= F.col("best") - 1e-9)
+    return near.groupBy("j").agg(F.min("i").alias("attractor"), F.max("best").alias("flow")).select(F.col("j").alias("node"), "attractor", "flow")
 
 
-def markov_clusters(edges: DataFrame, inflation: float = 2.0, prune: float = 1e-4, block: int = 1500, per_column: int = 60) -> DataFrame:
+def markov_clusters(edges: DataFrame, inflation: float = 2.0, prune: float = 1e-4, block: int = 1500) -> DataFrame:
     """(node, cluster, flow): the attractor of every node of the graph, and its flow there."""
     spark = edges.sparkSession
     comp = materialise(components(edges.select("src", "dst")))
@@ -246,7 +303,7 @@ def markov_clusters(edges: DataFrame, inflation: float = 2.0, prune: float = 1e-
     large = placed.where(F.col("size") > block)
     if not large.isEmpty():
         both = large.select(F.col("src").alias("i"), F.col("dst").alias("j"), "w").unionByName(large.select(F.col("dst").alias("i"), F.col("src").alias("j"), "w"))
-        out = out.unionByName(mcl_sparse(both, inflation, prune, per_column).withColumnRenamed("attractor", "cluster"))
+        out = out.unionByName(mcl_sparse(both, inflation, prune).withColumnRenamed("attractor", "cluster"))
     return out
 
 

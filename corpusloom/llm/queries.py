@@ -90,6 +90,13 @@ def p6_clusters(spark, d):
     return chunks.join(found, "chunk_id", "left").select("chunk_id", F.coalesce("cluster", F.lit(-1)).alias("cluster"), F.coalesce("size", F.lit(0)).alias("size"))
 
 
+def p6_members(spark, d):
+    """Every chunk of metadata with the least chunk of its cluster, which tells clusters apart whatever they are called, and the size."""
+    found = p6_clusters(spark, d)
+    least = found.where("cluster <> -1").groupBy("cluster").agg(F.min("chunk_id").alias("least_chunk"))
+    return found.join(least, "cluster", "left").select("chunk_id", "least_chunk", "size")
+
+
 def p6_described(spark, d):
     return mcl.VectorClusters(table(spark, d, "chunk_vectors")).described()
 
@@ -143,7 +150,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         p1_found, p1_segments, p2_found, p2_repaired, p3_found, p3_pieces, p3_rebuilt, p4_found, p4_versions, p4_links, p5_token_budget, p5_documents, p6_found,
-        p6_clusters, p6_described, p7_found, p7_statistics, p7_counts, p8_found, p8_containers, p8_checked, p9_found, p10_found,
+        p6_clusters, p6_members, p6_described, p7_found, p7_statistics, p7_counts, p8_found, p8_containers, p8_checked, p9_found, p10_found,
     )
 }
 
@@ -184,6 +191,14 @@ def _language(c: str) -> str:
     return f"CASE {cases} ELSE 'unknown' END"
 
 
+#: The groups of chunks that are similar to the very same chunks, ten or more.
+_CLIQUES = """
+    WITH v AS (SELECT chunk_id, any_value(list_transform(vector, lambda x: x::DOUBLE)) AS v FROM chunk_vectors WHERE vector IS NOT NULL GROUP BY chunk_id),
+    u AS (SELECT chunk_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v FROM v WHERE list_dot_product(v, v) > 0),
+    e AS (SELECT a.chunk_id AS a, b.chunk_id AS b FROM u a, u b WHERE list_dot_product(a.v, b.v) >= 0.85),
+    g AS (SELECT a, list_sort(list(b)) AS members FROM e GROUP BY a HAVING count(*) >= 10)
+"""
+
 #: The cases of problem 3 are those of a length, which SQL states; its pieces are tested by round trips. Problems 4, 6 and 9 are
 #: stated over all pairs, which SQL can do on small tables only.
 SQL: dict[str, str] = {
@@ -216,12 +231,11 @@ SQL: dict[str, str] = {
         FROM per_id GROUP BY CUBE (source, tradition, language)
     """,
     "p5_documents": _tokens("corpus", "id") + "SELECT id, n_tokens FROM sizes",
-    "p6_found": """
-        WITH v AS (SELECT chunk_id, any_value(list_transform(vector, lambda x: x::DOUBLE)) AS v FROM chunk_vectors WHERE vector IS NOT NULL GROUP BY chunk_id),
-        u AS (SELECT chunk_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v FROM v WHERE list_dot_product(v, v) > 0),
-        e AS (SELECT a.chunk_id AS a, b.chunk_id AS b FROM u a, u b WHERE list_dot_product(a.v, b.v) >= 0.85),
-        g AS (SELECT a, list_sort(list(b)) AS members FROM e GROUP BY a HAVING count(*) >= 10)
-        SELECT x.a AS chunk_id_a, y.a AS chunk_id_b FROM g x JOIN g y ON x.members = y.members AND x.a < y.a
+    "p6_found": _CLIQUES + "SELECT x.a AS chunk_id_a, y.a AS chunk_id_b FROM g x JOIN g y ON x.members = y.members AND x.a < y.a",
+    "p6_members": _CLIQUES + """
+        , m AS (SELECT a, members[1] AS least_chunk, count(*) OVER (PARTITION BY members)::INT AS n, len(members) AS size FROM g)
+        SELECT chunk_id, least_chunk, coalesce(n, 0)::INT AS size FROM (SELECT DISTINCT chunk_id FROM metadata WHERE chunk_id IS NOT NULL)
+        LEFT JOIN (SELECT * FROM m WHERE n = size) ON chunk_id = a
     """,
     "p7_counts": rf"""
         SELECT id, len({_WORDS})::BIGINT AS n_words, length(regexp_replace(text, '[{_SPACE}]', '', 'g'))::BIGINT AS n_chars,

@@ -416,6 +416,27 @@ def test_links_are_exact(spark):
     assert len({r["cluster"] for r in found}) == 2 and len(found) > 70
 
 
+def test_hot_buckets_of_vectors_lose_no_pair(spark):
+    """Cells of blocks find the links that whole buckets find."""
+    x = neighbours(np.random.default_rng(2), 0.9, size=30).astype(np.float32)
+    df = frame(spark, [(i, [float(y) for y in v]) for i, v in enumerate(x)], "node long, v array<float>")
+    whole, cells = ({(r["src"], r["dst"]) for r in mcl.similar_pairs(df, 0.85, strongest=100, most=m).collect()} for m in (4096, 9))
+    assert whole == cells and len(whole) > 500
+
+
+@pytest.mark.parametrize("n", [500, 20_000])
+def test_index_recall(n):
+    """Of pairs at the very threshold, those that share a code."""
+    rng = np.random.default_rng(9)
+    d = mcl.Directions(n, 64, 0.85)
+    x = rng.standard_normal((2000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.standard_normal(x.shape)
+    y -= (y * x).sum(1, keepdims=True) * x
+    y = 0.85 * x + np.sqrt(1 - 0.85**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    assert (d.codes(x.astype(np.float32)) == d.codes(y.astype(np.float32))).any(1).mean() > 0.93
+
+
 def test_dense_parts_of_a_cluster_stay_together(spark):
     rng = np.random.default_rng(12)
     q = np.linalg.qr(rng.standard_normal((64, 4)))[0].T
@@ -455,6 +476,8 @@ def test_block_and_sparse_agree(spark):
             out.setdefault(r["cluster"], set()).add(r["node"])
         return {frozenset(v) for v in out.values()}
 
+    flows = [{r["node"]: (r["cluster"], round(r["flow"], 4)) for r in mcl.markov_clusters(e, block=b).collect()} for b in (1500, 5)]
+    assert flows[0] == flows[1]
     want = {frozenset(range(g * 10, g * 10 + 10)) for g in range(3)}
     assert parts(mcl.markov_clusters(e)) == want and parts(mcl.markov_clusters(e, block=5)) == want
 
