@@ -258,17 +258,35 @@ def paragraph_votes(docs: DataFrame, votes: Votes, key: str) -> DataFrame:
             for ident, text, title, tradition, source in zip(pdf[key], pdf["text"], pdf["title"], pdf["tradition"], pdf["source"]):
                 found = Counter(votes.document(text, title, tradition, source))
                 if found:
-                    rows.append((ident, [list(v) for v in found], list(found.values())))
+                    rows.append((ident, [pattern(v, votes.n) for v in found], list(found.values())))
             yield pd.DataFrame(rows, columns=[key, "votes", "n"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.mapInPandas(vote, f"`{key}` {kind}, votes array<array<int>>, n array<int>")
+    return docs.mapInPandas(vote, f"`{key}` {kind}, votes array<long>, n array<int>")
+
+
+def pattern(votes: tuple[int, ...], subjects: int) -> int:
+    """One number for the votes of all functions, each of which is -1 to ``subjects``."""
+    code = 0
+    for v in reversed(votes):
+        code = code * (subjects + 2) + v + 1
+    return code
+
+
+def votes_of(code: int, subjects: int) -> list[int]:
+    out = []
+    for _ in FUNCTIONS:
+        code, v = divmod(code, subjects + 2)
+        out.append(v - 1)
+    return out
 
 
 def document_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, key: str = "doc_id", share: float = 0.25, most_labels: int = 20_000, rate: float = 1 / 10_000, rounds: int = 2) -> DataFrame:
     """(key, subject, share): subjects with at least a ``share`` of the document's paragraphs, and the share to be expected."""
     spark = docs.sparkSession
     names = sorted(r["subject"] for r in subjects.select("subject").where("subject is not null").distinct().collect())
+    if (len(names) + 2) ** len(FUNCTIONS) >= 2**63:
+        raise ValueError(f"{len(names)} subjects are too many for one number a vote pattern")
     kind = docs.schema[key].dataType.simpleString()
     empty = spark.createDataFrame([], f"`{key}` {kind}, subject string, share double")
     rows = docs.select(key, "text", "title", "tradition", "source").where(F.col(key).isNotNull() & not_blank(F.col("text")))
@@ -283,16 +301,22 @@ def document_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, k
     seen = each.groupBy("votes").agg(F.sum("n").alias("n")).toPandas()  # the patterns: votes of the functions, however many paragraphs there are
     if not len(seen):
         return empty
-    patterns = np.array(seen["votes"].tolist())
+    patterns = np.array([votes_of(x, len(names)) for x in seen["votes"].tolist()])
     post, _ = fit_votes(patterns, seen["n"].to_numpy(float), len(names))
-    of = {tuple(p): q for p, q in zip(patterns.tolist(), post)}
+    of = dict(zip(seen["votes"].tolist(), post))
 
     def decide(batches):
+        known: dict[tuple, list] = {}  # documents with the same votes
         for pdf in batches:
             out = []
             for ident, votes, ns in zip(pdf[key], pdf["votes"], pdf["n"]):
-                found = likely_subjects([int(n) for n in ns], np.array([of[tuple(v)] for v in votes]), share)
-                out += [(ident, names[k], x) for k, x in found]
+                votes, ns = votes.tolist(), ns.tolist()
+                at = tuple(sorted(zip(votes, ns)))
+                if at not in known:
+                    if len(known) > 100_000:
+                        known.clear()
+                    known[at] = likely_subjects(ns, np.array([of[v] for v in votes]), share)
+                out += [(ident, names[k], x) for k, x in known[at]]
             yield pd.DataFrame(out, columns=[key, "subject", "share"])
 
     return voted.mapInPandas(decide, f"`{key}` {kind}, subject string, share double").dropDuplicates([key, "subject"])
