@@ -2,8 +2,9 @@
 
 A vocabulary with document frequencies is counted over the records that show no trace of a page layout. Every word outside
 of it is looked up by intersecting its Levenshtein automaton with the vocabulary's trie, which retrieves all words within
-the distance; candidates are ranked by the shapes that scanners confuse, by frequency and by the word before. Invented
-names, which no vocabulary holds, are judged by their letter trigrams. Then page furniture is removed and lines are
+the distance; candidates are ranked by the shapes that scanners confuse, by frequency and by the word before. Capitalised and known
+but rare words go through the automaton of weighted edits, in which a confusion of shapes costs least. Invented names, which no
+vocabulary holds, are the words of a second automaton, that of usual letter trigrams, and are retrieved from it in the same way. Then page furniture is removed and lines are
 flowed into paragraphs.
 
 Sizes: a word enters the vocabulary if a share ``rate`` of the clean records hold it, so it has at most (words a record) /
@@ -26,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.base import JAVA_WORD, distinct_texts, spread
+from corpusloom.llm.base import JAVA_WORD, distinct_texts, materialise, spread
 from corpusloom.llm.quality import text_quality
 
 #: Fixed values: (true, read) shapes that scanners confuse.
@@ -40,7 +41,17 @@ HYPHENS = "-‐¬\xad‑–"
 #: A line that holds only a page's number.
 PAGE = re.compile(r"^\s*(?:(?:page|p\.|pag\.|pg\.|seite|s\.)\s*)?[\[({*.~|—–-]*\s*(?:\d{1,4}|[ivxlcdm]{1,8})\s*[\])}*.~|—–-]*\s*$|^\s*(?:Page|PAGE|P\.)\s*[\dIVXLCDMlOo]{1,8}[.\])]*\s*$")
 CHAPTER = re.compile(r"^\s*(?:chapter|section|part|kapitel|chapitre|capitolo|cap[ií]tulo|caput)\s+[\divxlcdm]+\b", re.I)
-PART = re.compile(r"^\s*(?:\d{1,4}\s{1,})?(?:BOOK|B00K|BO0K|B0OK|Book)\s+[IVXLCDM1l|]+\s*[.,:]\s*\S", re.U)
+PART = re.compile(r"^\s*(?:\d{1,4}\s+)?(?:book|part|volume|buch|teil|livre|partie|libro|parte|liber|pars)\s+[ivxlcdm1|!]+\s*[.,:]\s*\S")
+#: Shapes that hold no letters stand for one: a line is compared with a title after they are read as letters.
+_SHAPES = {read: true for true, read in reversed(CONFUSIONS) if not read.isalpha()}
+_SHAPE = re.compile("|".join(re.escape(x) for x in sorted(_SHAPES, key=len, reverse=True)))
+
+
+def as_letters(line: str) -> str:
+    """The line in lower case, numbers inside of words and marks read as the letters they resemble."""
+    return re.sub(r"\S*[^\W\d_]\S*", lambda m: _SHAPE.sub(lambda x: _SHAPES[x.group()], m.group()), line).lower()
+
+
 #: A row of a table inside a text: its cells are no words.
 ROW = re.compile(r";[^;\s]+;|\s\|\s.*\s\|\s|\t\S*\t|\S {3,}\S+ {3,}\S|^\s*[-|+:]{3,}\s*$")
 _EDGE_L, _EDGE_R = "\"'“‘(¿¡[«*", ".,;:!?\"'”’)]»*"
@@ -56,6 +67,15 @@ class Trie:
             for ch in w:
                 node = node[0].setdefault(ch, [{}, 0])
             node[1] = n
+        self.start = self.root
+
+    @staticmethod
+    def follow(node: list, prefix: str):
+        return node[0].items()
+
+    @staticmethod
+    def ends(node: list, prefix: str) -> int:
+        return node[1]
 
 
 class LevenshteinAutomaton:
@@ -114,15 +134,78 @@ def reading_cost(true: str, read: str) -> float:
     return best[n][m]
 
 
-def unread(word: str) -> list[str]:
-    """The words of which ``word`` may be a misreading by one confusion."""
-    out = []
-    for a, b in CONFUSIONS:
-        at = word.find(b)
-        while at >= 0:
-            out.append(word[:at] + a + word[at + len(b) :])
-            at = word.find(b, at + 1)
-    return out
+class ReadingAutomaton:
+    """The Levenshtein automaton of weighted edits: accepts what ``word`` may be a misreading of at a ``reading_cost`` of at most ``limit``.
+
+    A state is the rows of least costs after the last prefixes (as many as the longest shape has letters), cut at the limit; it runs
+    over any lexicon that gives the letters that may follow."""
+
+    def __init__(self, word: str, limit: float) -> None:
+        self.word, self.limit = word, limit + 1e-9
+        row = [0.0]
+        for ch in word:
+            row.append(row[-1] + (1 if ch in NOISE else 1.6))
+        self.start = (row,)
+        self.shapes: dict[str, list[tuple[str, int, list[int]]]] = {}
+        for true, read in CONFUSIONS:
+            ends = [j + len(read) for j in range(len(word) - len(read) + 1) if word.startswith(read, j)]
+            if ends:
+                self.shapes.setdefault(true[-1], []).append((true, len(read), ends))
+
+    def step(self, state: tuple, prefix: str, ch: str) -> tuple | None:
+        """The state after ``prefix + ch``; None if nothing within the limit can follow."""
+        word, last, text = self.word, state[-1], prefix + ch
+        row = [last[0] + 1.6]
+        for j, c in enumerate(word):
+            row.append(min(last[j] + (0 if c == ch else 1.6), last[j + 1] + 1.6))
+        for true, size, ends in self.shapes.get(ch, ()):
+            if len(true) <= len(state) and text.endswith(true):
+                before = state[-len(true)]
+                for j in ends:
+                    row[j] = min(row[j], before[j - size] + 1)
+        for j, c in enumerate(word):
+            row[j + 1] = min(row[j + 1], row[j] + (1 if c in NOISE else 1.6))
+        if min(row) > self.limit and min(last) > self.limit:
+            return None
+        return (*state[-1:], row)
+
+    def within(self, lexicon: "Trie | NameGraph") -> list[tuple[float, str, int]]:
+        """(cost, word, frequency) of every word of the lexicon that the automaton accepts."""
+        out, stack = [], [(lexicon.start, self.start, "")]
+        while stack:
+            node, state, prefix = stack.pop()
+            n = lexicon.ends(node, prefix)
+            if n and prefix and state[-1][-1] <= self.limit:
+                out.append((state[-1][-1], prefix, n))
+            for ch, child in lexicon.follow(node, prefix):
+                nxt = self.step(state, prefix, ch)
+                if nxt is not None:
+                    stack.append((child, nxt, prefix + ch))
+        return out
+
+
+class NameGraph:
+    """The names whose letter trigrams are all usual, as an automaton: a state is the last two letters."""
+
+    def __init__(self, grams: dict[str, int], least: float) -> None:
+        self.next: dict[str, list[tuple[str, str]]] = {}
+        self.last: set[str] = set()
+        for g, n in grams.items():
+            if n >= least and len(g) == 3:
+                if g[2] == "$":
+                    self.last.add(g[:2])
+                else:
+                    self.next.setdefault(g[:2], []).append((g[2], g[1:]))
+                if g[0] == "^":
+                    self.next.setdefault("^", []).append((g[1], g[:2]))
+        self.next["^"] = sorted(set(self.next.get("^", ())))
+        self.start = "^"
+
+    def follow(self, node: str, prefix: str) -> list[tuple[str, str]]:
+        return self.next.get(node, [])
+
+    def ends(self, node: str, prefix: str) -> int:
+        return int(len(prefix) >= 3 and node in self.last)
 
 
 def trigrams(name: str) -> list[str]:
@@ -138,6 +221,7 @@ class Lexicon:
         self.least_gram = max(2.0, names * 4e-5)
         self.common = max(words.values(), default=1)
         self.trie: Trie | None = None
+        self.names: NameGraph | None = None
         self.seen: dict[str, str | None] = {}
 
     def __getstate__(self):
@@ -145,13 +229,30 @@ class Lexicon:
 
     def __setstate__(self, s):
         self.words, self.pairs, self.compounds, self.grams, self.least_gram, self.common = s
-        self.trie, self.seen = None, {}
+        self.trie, self.names, self.seen = None, None, {}
 
-    def candidates(self, word: str, k: int) -> list[tuple[str, int, int]]:
+    def _build(self) -> None:
         if self.trie is None:
-            self.trie = Trie(self.words)
+            self.trie, self.names = Trie(self.words), NameGraph(self.grams, self.least_gram)
+
+    def candidates(self, word: str, k: int) -> list[tuple[str, int, int]]:
+        self._build()
         return LevenshteinAutomaton(word, k).within(self.trie)
 
+    def readings(self, word: str, limit: float) -> list[tuple[float, str, int]]:
+        """(cost, word, frequency) of the words of the vocabulary that may have been read as ``word``."""
+        self._build()
+        return ReadingAutomaton(word, limit).within(self.trie)
+
+    def name_readings(self, word: str) -> list[str]:
+        """Names that may have been read as ``word`` by one confusion or stray mark, else by two; the cheapest first."""
+        self._build()
+        for limit in (1, 2):
+            found = sorted((c, w) for c, w, _ in ReadingAutomaton(word, limit).within(self.names) if w != word)
+            if found:
+                return [w for _, w in found]
+        return []
+
     def is_name(self, w: str) -> bool:
         return len(w) >= 3 and all(self.grams.get(g, 0) >= self.least_gram for g in trigrams(w))
 
@@ -180,18 +281,13 @@ class Lexicon:
         if n:  # a known but rare word: only if it is a confusion of a far more frequent one
             if core[0].isupper() and self.is_name(low):
                 return None
-            found = [(w, self.words[w]) for w in unread(low) if self.words.get(w, 0) >= 300 * n]
-            return [w for w, _ in sorted(found, key=lambda x: -x[1])[:3]] or None
+            found = sorted((c, -f, w) for c, w, f in self.readings(low, 1) if w != low and f >= 300 * n)
+            return [w for *_, w in found] or None
         if capital and not marked:
             if self.is_name(low):
                 return None
-            direct = [(w, self.words[w]) for w in unread(low) if w in self.words]
-            if direct:
-                return [w.capitalize() for w, _ in sorted(direct, key=lambda x: -x[1])[:3]]
-            names = [w for w in unread(low) if self.is_name(w)]
-            if not names:  # two confusions in one name
-                names = [v for w in unread(low) for v in unread(w) if self.is_name(v)]
-            return [w.capitalize() for w in names[:3]] or None
+            direct = sorted((c, -f, w) for c, w, f in self.readings(low, 1))
+            return [w.capitalize() for w in [w for *_, w in direct] or self.name_readings(low)] or None
         plain = low.translate({ord(ch): None for ch in NOISE})
         if plain != low and (plain in self.words or self.is_name(plain)):
             return [plain]
@@ -205,10 +301,9 @@ class Lexicon:
         ranked = sorted((reading_cost(w, low) - 0.08 * math.log1p(f), w) for w, _, f in found if len(w) > 1 or marked)
         ranked = [(c, w) for c, w in ranked if c <= ranked[0][0] + 0.4 and c <= 2.6]
         if ranked:
-            return [w for _, w in ranked[:4]]
+            return [w for _, w in ranked]
         if marked:
-            names = [w for w in [plain, *unread(low), *unread(plain)] if self.is_name(w)]
-            return names[:3] or ([plain] if letters >= 2 else None)
+            return ([plain] if self.is_name(plain) else []) + self.name_readings(low) or ([plain] if letters >= 2 else None)
         return None
 
 
@@ -217,28 +312,30 @@ def lexicon(texts: DataFrame, key: str = "id", rate: float = 1 / 4000, pair_rate
     dirty = r"\p{L}[-‐¬­]\s*\n|\p{L}[|¬\\~^@0-9!]+\p{L}|(?m)^\s*(?:(?:[Pp]age|p\.) *)?[\[(*.~ -]*\d{1,4}[\]) *.~-]*$|(?m)^\s*[ivxlc]+\s*$"
     clean = texts.where(~F.col("text").rlike(dirty)).select("text")
     split = clean.select(F.regexp_extract_all(F.lower("text"), F.lit(JAVA_WORD), F.lit(0)).alias("w"), F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+-\p{L}+"), F.lit(0)).alias("c"), F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?<=[\p{Ll},;] )\p{Lu}\p{Ll}{2,}"), F.lit(0))).alias("names"))
-    split = split.cache()
-    total = split.count()
-    least = max(2, math.ceil(total * rate))
-    by = lambda c, lo: split.select(F.explode(F.array_distinct(c)).alias("x")).groupBy("x").agg(F.count("*").alias("n")).where(F.col("n") >= lo).toPandas()
-    w = by("w", least)
-    words = dict(zip(w["x"], w["n"].astype(int)))
-    comp = by("c", least)
     two = F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
-    pair = by(two, max(3, math.ceil(total * pair_rate)))
-    pairs = {tuple(x.split(" ")): int(n) for x, n in zip(pair["x"], pair["n"]) if x.count(" ") == 1}
-    marked = F.concat(F.lit("^"), F.lower("name"), F.lit("$"))
-    names = split.select(F.explode("names").alias("name"))
-    grams = names.select(F.explode(F.transform(F.sequence(F.lit(1), F.length(marked) - 2), lambda i: F.substring(marked, i, F.lit(3)))).alias("g")).groupBy("g").agg(F.count("*").alias("n")).where("n >= 2").toPandas()
-    count = names.count()
-    split.unpersist()
-    return Lexicon(words, pairs, set(comp["x"]), dict(zip(grams["g"], grams["n"].astype(int))), count)
+    marked = F.transform("names", lambda x: F.concat(F.lit("^"), F.lower(x), F.lit("$")))
+    grams = F.flatten(F.transform(marked, lambda x: F.transform(F.sequence(F.lit(1), F.length(x) - 2), lambda i: F.substring(x, i, F.lit(3)))))
+    kinds = {"t": F.array(F.lit("")), "w": F.array_distinct("w"), "c": F.array_distinct("c"), "p": F.array_distinct(two), "g": grams, "n": F.transform("names", lambda x: F.lit(""))}
+    # one pass over the texts counts records, words, compounds, pairs, trigrams and names
+    named = lambda k, a: F.transform(a, lambda x: F.struct(F.lit(k).alias("kind"), x.alias("x")))
+    tokens = F.flatten(F.array(*[named(k, a) for k, a in kinds.items()]))
+    counted = materialise(split.select(F.explode(tokens).alias("e")).groupBy("e.kind", "e.x").agg(F.count("*").alias("n")).where("n >= 2 or kind in ('t', 'n')"))
+    whole = {r["kind"]: r["n"] for r in counted.where("kind in ('t', 'n')").collect()}
+    total = whole.get("t", 0)
+    least = {"w": max(2, math.ceil(total * rate)), "c": max(2, math.ceil(total * rate)), "p": max(3, math.ceil(total * pair_rate)), "g": 2}
+    enough = F.coalesce(*[F.when(F.col("kind") == k, F.col("n") >= n) for k, n in least.items()], F.lit(False))
+    found: dict[str, dict[str, int]] = {k: {} for k in least}
+    for k, x, n in counted.where(enough).select("kind", "x", "n").toPandas().itertuples(index=False):
+        found[k][x] = int(n)
+    pairs = {tuple(x.split(" ")): n for x, n in found["p"].items() if x.count(" ") == 1}
+    return Lexicon(found["w"], pairs, set(found["c"]), found["g"], whole.get("n", 0))
 
 
 def _normal(line: str) -> str:
-    s = re.sub(r"^\s*\d{1,4}\s+|\s+\d{1,4}\s*$", "", line.strip())
-    s = re.sub(r"^(?:BOOK|B00K|BO0K|B0OK|Book)\s+\S+\s*", "", s)
-    return re.sub(r"[^a-z ]", "", s.lower().replace("'i'", "t").replace("0", "o").replace("1", "l").replace("|", "i").replace("!", "i")).strip()
+    s = as_letters(re.sub(r"^\s*\d{1,4}\s+|\s+\d{1,4}\s*$", "", line.strip()))
+    m = PART.match(s)
+    s = s[m.end() - 1 :] if m else s
+    return re.sub(r"[^a-z ]", "", s).strip()
 
 
 @lru_cache(maxsize=4096)
@@ -269,7 +366,7 @@ def furniture(lines: list[str], title: str | None) -> dict[int, str]:
         x = lines[i].strip()
         if CHAPTER.match(x):
             continue
-        if PART.match(x) and len(x) < 80 and (x.upper() == x or not x.endswith((".", ",", ";"))):
+        if PART.match(as_letters(x)) and len(x) < 80 and (x.upper() == x or not x.endswith((".", ",", ";"))):
             out[i] = "header"
         elif t and len(s) >= 6 and not x.endswith((".", ";", "?")) and _near(s, t) and len(s) >= min(len(t) * 0.4, 18):
             out[i] = "header"

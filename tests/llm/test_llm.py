@@ -151,6 +151,19 @@ def test_automaton_retrieves_all(vocab, word, k):
     assert got == {(w, distance(word, w)) for w in set(vocab) if distance(word, w) <= k}
 
 
+@settings(deadline=None)
+@given(st.lists(st.text(alphabet="mnrlicd", min_size=1, max_size=6), min_size=1, max_size=12), st.text(alphabet="mnrlicd1|", min_size=1, max_size=6), st.sampled_from([1, 2, 2.6]))
+def test_reading_automaton_retrieves_all(vocab, word, limit):
+    """All words of the trie, and all names of the trigram graph, whose weighted cost is within the limit, with that cost."""
+    got = {w: c for c, w, _ in ocr.ReadingAutomaton(word, limit).within(ocr.Trie({w: 1 for w in vocab}))}
+    want = {w: ocr.reading_cost(w, word) for w in vocab if ocr.reading_cost(w, word) <= limit + 1e-9}
+    assert got.keys() == want.keys() and all(abs(got[w] - want[w]) < 1e-9 for w in want)
+    grams = Counter(g for w in vocab for g in ocr.trigrams(w))
+    names = {w for _, w, _ in ocr.ReadingAutomaton(word, limit).within(ocr.NameGraph(grams, 1))}
+    assert {w for w in want if len(w) >= 3} <= names
+    assert all(all(g in grams for g in ocr.trigrams(w)) and ocr.reading_cost(w, word) <= limit + 1e-9 for w in names)
+
+
 def test_reading_cost():
     assert ocr.reading_cost("modern", "rnodern") == 1 and ocr.reading_cost("the", "tbe") == 1 and ocr.reading_cost("word", "wo¬rd") == 1
     assert ocr.reading_cost("same", "same") == 0 and ocr.reading_cost("abc", "axc") == 1.6
