@@ -19,9 +19,14 @@ def mark_duplicates(df: DataFrame, key: str, order: list[Column], text: str = "t
     return marked.select(key, "content_hash", F.when(F.col(key) != F.col("_first"), F.col("_first")).alias("duplicate_of"))
 
 
-def keep_first(df: DataFrame, key: str, order: list[Column], **how) -> DataFrame:
-    """The rows that come first in their hash, in the order of arrival."""
-    return df.join(mark_duplicates(df, key, order, **how).where("duplicate_of is null").select(key), key, "left_semi")
+def keep_first(df: DataFrame, key: str, order: list[Column], text: str = "text", prefix: int = 2000, lowercase: bool = True) -> DataFrame:
+    """The rows that come first in their hash, in the order of arrival; null texts all stay.
+
+    One aggregate carries the winner's key of each hash, so a text is hashed once; the rows are then met by key."""
+    hashed = df.select(key, content_hash(F.col(text), prefix, lowercase).alias("content_hash"), F.struct(*order, F.col(key)).alias("_o"))
+    alone = F.when(F.col("content_hash").isNull(), F.col(key))  # a null text is a group of its own
+    first = hashed.groupBy("content_hash", alone.alias("_k")).agg(F.min("_o")[key].alias(key)).select(key)
+    return df.join(first, key, "left_semi")
 
 
 def keep_longest(df: DataFrame, key: str, size: str = "char_count", **how) -> DataFrame:

@@ -14,7 +14,7 @@ from corpusloom.functions.titles import fuzzy_title_links, indel_ratio
 from corpusloom.functions.vectors import norm
 from corpusloom.operators import chunking, dedup, density, embedding, export, gates, manifest, projection, similarity, topics, versions
 from corpusloom.plans import pipeline
-from corpusloom.session import table
+from corpusloom.session import balanced, table
 from corpusloom.sources import crawl, html
 from corpusloom.streaming import incremental
 
@@ -109,6 +109,11 @@ def _one(spark: SparkSession, d: str) -> DataFrame:
     return c.groupBy("id").agg(F.any_value("text", True).alias("text"), *[F.min(x).alias(x) for x in ("title", "source", "tradition", "char_count")])
 
 
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    """The corpus for text steps: as scanned if that gives work to all cores."""
+    return balanced(table(spark, d, "corpus").select("id", "text"), "id")
+
+
 # ---- search and similarity ---------------------------------------------------------------------------------------------
 
 _UNIT = "SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings"
@@ -172,35 +177,35 @@ def similarity_heatmap(spark, d):
 @register(f"WITH {_normalized('corpus', 'id')} SELECT id, text FROM norm")
 def normalize_text(spark, d):
     """All steps but Unicode folding, which SQL lacks (see nfkc_folding)."""
-    return table(spark, d, "corpus").select("id", T.normalize_text(F.col("text"), fold=False).alias("text"))
+    return _texts(spark, d).select("id", T.normalize_text(F.col("text"), fold=False).alias("text"))
 
 
 @register()
 def nfkc_folding(spark, d):
-    return table(spark, d, "corpus").select("id", T.normalize_text(F.col("text")).alias("text"))
+    return _texts(spark, d).select("id", T.normalize_text(F.col("text")).alias("text"))
 
 
 @register(f"SELECT id, round({_weird('text', 2000)}, 6) AS weird, {_sparse('text')} AS sparse, {_garbled('text')} AS garbled FROM corpus")
 def garbled_flags(spark, d):
     t = F.col("text")
-    return table(spark, d, "corpus").select("id", F.round(T.weird_ratio(t), 6).alias("weird"), T.is_sparse(t).alias("sparse"), T.is_garbled(t).alias("garbled"))
+    return _texts(spark, d).select("id", F.round(T.weird_ratio(t), 6).alias("weird"), T.is_sparse(t).alias("sparse"), T.is_garbled(t).alias("garbled"))
 
 
 @register(f"SELECT id, round({_score('text')}, 6) AS score FROM corpus")
 def quality_score(spark, d):
-    return table(spark, d, "corpus").select("id", F.round(T.quality_score(F.col("text")), 6).alias("score"))
+    return _texts(spark, d).select("id", F.round(T.quality_score(F.col("text")), 6).alias("score"))
 
 
 @register(f"SELECT id, {_hash('text', 2000, True)} AS process_hash, {_hash('text', 5000, False)} AS export_hash FROM corpus")
 def content_hash_prefix(spark, d):
     t = F.col("text")
-    return table(spark, d, "corpus").select("id", T.content_hash(t).alias("process_hash"), T.content_hash(t, 5000, False).alias("export_hash"))
+    return _texts(spark, d).select("id", T.content_hash(t).alias("process_hash"), T.content_hash(t, 5000, False).alias("export_hash"))
 
 
 @register(f"SELECT id, {_latin('text')}::INT AS hits, {_latin('text')} >= 3 AS latin FROM corpus WHERE text IS NOT NULL")
 def latin_detection(spark, d):
     t = F.col("text")
-    return table(spark, d, "corpus").where("text is not null").select("id", T.latin_hits(t).alias("hits"), T.is_latin(t).alias("latin"))
+    return _texts(spark, d).where("text is not null").select("id", T.latin_hits(t).alias("hits"), T.is_latin(t).alias("latin"))
 
 
 @register(f"SELECT id, regexp_replace({_strip('lower(title)')}, '{_S}+', ' ', 'g') AS title, replace(left(text, 200), chr(10), ' ') AS preview, coalesce(author, 'unknown') AS author FROM corpus")
@@ -214,16 +219,15 @@ def title_and_preview(spark, d):
 
 @register(f"SELECT id, {_outcome('text')} AS outcome FROM corpus")
 def quality_gate(spark, d):
-    return gates.with_outcome(table(spark, d, "corpus")).select("id", "outcome")
-
+    return gates.with_outcome(_texts(spark, d)).select("id", "outcome")
 
-_FRAGMENTS = (*T.OFF_TOPIC_TITLES, "concerning the zodiac", "weary")
 
-
-@register("SELECT id, title, " + " OR ".join("contains(lower(coalesce(title, '')), '{}')".format(x) for x in _FRAGMENTS) + " AS off_topic FROM corpus")
+@register("SELECT id, title, " + " OR ".join("contains(lower(coalesce(title, '')), '{}')".format(x) for x in T.OFF_TOPIC_TITLES) + " AS off_topic FROM ("
+    "SELECT id, title FROM corpus UNION ALL SELECT 'made-' || i, 'On ' || upper(f) || ', part ' || i FROM (SELECT unnest([" + ", ".join(f"'{x}'" for x in T.OFF_TOPIC_TITLES) + f"]) AS f, unnest(range({len(T.OFF_TOPIC_TITLES)})) AS i))")
 def off_topic_split(spark, d):
-    """With two further fragments, as the fixed ones do not occur in these tables."""
-    return table(spark, d, "corpus").select("id", "title", T.is_off_topic(F.col("title"), _FRAGMENTS).alias("off_topic"))
+    """The titles of the corpus and, as the fragments do not occur in them, one made of each fragment."""
+    made = spark.createDataFrame([(f"made-{i}", f"On {x.upper()}, part {i}") for i, x in enumerate(T.OFF_TOPIC_TITLES)], "id string, title string")  # a row a fragment
+    return table(spark, d, "corpus").select("id", "title").unionByName(made).select("id", "title", T.is_off_topic(F.col("title")).alias("off_topic"))
 
 
 @register(f"""
@@ -320,14 +324,16 @@ def _items(spark, d):
 
 
 @register(f"""
-    WITH {_LATEST}, i AS ({_ITEM}) SELECT i.id, m.item_id AS manifest_item_id, m.status AS manifest_status
-    FROM i LEFT JOIN latest m ON m.source = i.source AND m.item_id = i.item_id
+    WITH {_LATEST}, i AS ({_ITEM}), p AS (SELECT *, 'part.html' AS tail FROM i UNION ALL SELECT *, 'vol/2/part.html' FROM i UNION ALL SELECT id, source, 'no-such/' || item_id, 'x.txt' FROM i)
+    SELECT p.id, tail, m.item_id AS manifest_item_id, m.status AS manifest_status FROM p LEFT JOIN latest m ON m.source = p.source AND m.item_id = p.item_id
 """)
 def manifest_lookup(spark, d):
-    """Files item/part.html found by the longest leading part of their path that the manifest knows."""
+    """Files item/part.html, item/vol/2/part.html and some in an unknown folder, found by the longest leading part of their path that the
+    manifest knows."""
     state = manifest.latest(table(spark, d, "manifest")).select("source", "item_id", "status")
-    files = _items(spark, d).withColumn("path", F.concat("item_id", F.lit("/part.html")))
-    return manifest.look_up(files, state).select("id", "manifest_item_id", "manifest_status")
+    tails = F.explode(F.array(*[F.struct(F.lit(a).alias("head"), F.lit(b).alias("tail")) for a, b in (("", "part.html"), ("", "vol/2/part.html"), ("no-such/", "x.txt"))]))
+    files = _items(spark, d).withColumn("_t", tails).withColumn("tail", F.col("_t.tail")).withColumn("path", F.concat("_t.head", "item_id", F.lit("/"), "tail")).drop("_t")
+    return manifest.look_up(files, state).select("id", "tail", "manifest_item_id", "manifest_status")
 
 
 @register(f"WITH {_LATEST}, i AS ({_ITEM}) SELECT source, item_id FROM i WHERE NOT EXISTS (SELECT 1 FROM latest m WHERE m.status = 'downloaded' AND m.source = i.source AND m.item_id = i.item_id)")
@@ -447,23 +453,12 @@ def truncated_tokens(spark, d):
 
 # ---- clusters and topics ---------------------------------------------------------------------------------------------------------
 
+#: Words that are no topic, of both the query and its SQL; the operator itself takes any list, by default that of Spark.
+_STOP_WORDS = "a about after all an and any are as at be been but by for from had has have he her his how if in into is it its my no nor not of on or our she so that the their them they this to was we were what when where which who will with would you your".split()
 
 
-def _topic_sql() -> str | None:
-    import os
-    import zipfile
-
-    import pyspark
-
-    # the stop words are those of the installed library, so that the SQL can be built without a session
-    try:
-        jars = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-        jar = next(x for x in os.listdir(jars) if x.startswith("spark-mllib_"))
-        with zipfile.ZipFile(os.path.join(jars, jar)) as z:
-            words = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split("\n")
-    except (OSError, StopIteration, KeyError):
-        return None
-    stop = ", ".join("'" + w.strip().replace("'", "''") + "'" for w in words if w.strip())
+def _topic_sql() -> str:
+    stop = ", ".join(f"'{w}'" for w in _STOP_WORDS)
     return rf"""
         WITH m AS (SELECT cluster, text FROM metadata WHERE cluster IS NOT NULL AND cluster <> -1),
         w AS (SELECT cluster, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}')) AS term FROM m WHERE text IS NOT NULL),
@@ -479,7 +474,7 @@ def _topic_sql() -> str | None:
 
 @register(_topic_sql())
 def cluster_topic_terms(spark, d):
-    return topics.top_terms(table(spark, d, "metadata")).withColumn("weight", F.round("weight", 6))
+    return topics.top_terms(table(spark, d, "metadata"), stop=_STOP_WORDS).withColumn("weight", F.round("weight", 6))
 
 
 @register("SELECT cluster, count(*)::BIGINT AS size FROM metadata WHERE cluster IS NOT NULL GROUP BY cluster")

@@ -9,7 +9,7 @@ from corpusloom.functions.text import detect_language, normalize_text
 from corpusloom.operators.dedup import mark_duplicates
 from corpusloom.operators.export import export
 from corpusloom.operators.gates import quality_outcome
-from corpusloom.session import materialise
+from corpusloom.session import materialise, parallelism
 from corpusloom.sources.files import decode
 from corpusloom.sources.html import html_page
 
@@ -31,6 +31,8 @@ def process(records: DataFrame, key: str = "id", detector=None, fold: bool = Tru
     ``duplicate_of``. Rows are never dropped here; an outcome says what became of each.
 
     The normalised records are written once (a checkpoint), since the steps after it read them several times."""
+    # spread first: the rows may come from a small shuffle or scan in one partition, and the text steps are the costly ones
+    records = records.repartition(parallelism(records.sparkSession), key)
     clean = records.withColumn("text", normalize_text(F.col("text"), fold=fold))
     done = materialise(clean.withColumns({"outcome": quality_outcome(F.col("text")), "language": detect_language(F.col("text"), detector), "char_count": F.length("text").cast("long")}))
     order = [F.col(c) for c in ("source", "rel") if c in records.columns]

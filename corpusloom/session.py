@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,11 +28,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def parallelism(spark: SparkSession) -> int:
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def balanced(df: DataFrame, key: str) -> DataFrame:
+    """A plan without a shuffle as it is if it has enough partitions for all cores, else spread by key.
+
+    Large tables come in many splits and need no shuffle; a small table may come in one."""
+    given = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if given >= df.sparkSession.sparkContext.defaultParallelism else df.repartition(parallelism(df.sparkSession), key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in ``spark.checkpoint.dir``; only where that is unset, a local one."""
+    """Use the folder the cluster names in ``spark.checkpoint.dir``; only a session on this one machine may do without."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "corpusloom-checkpoints"))
 
 
