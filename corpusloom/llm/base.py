@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Iterator
 
@@ -52,6 +53,12 @@ def iter_groups(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFr
         yield held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let the driver find out which finished steps nothing refers to any more, so that their shuffle files leave the disks."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.base import iter_groups, materialise, parallelism
+from corpusloom.llm.base import free_shuffles, iter_groups, materialise, parallelism
 from corpusloom.llm.components import components
 
 #: What the rounding of vectors to bytes may change in a cosine.
@@ -31,7 +31,7 @@ SLACK = 0.015
 
 
 #: A bucket holds at most about so many unrelated vectors.
-BUCKET = 128
+BUCKET = 1024
 #: Rows of a bucket that one task compares with each other; larger buckets are divided into cells of two blocks of about so many.
 BLOCK = 4096
 
@@ -76,12 +76,12 @@ class Directions:
 
 
 def unit_vectors(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """(node, key, v): one row per key with a usable vector, scaled to length one; equal vectors share a node."""
+    """(key, node, v): the rows with a usable vector, scaled to length one; equal vectors share a node. Repeated rows stay."""
     size = vectors.where(F.size(vector) > 0).groupBy(F.size(vector).alias("d")).count().orderBy(F.desc("count"), "d").first()
     dims = size["d"] if size else 0
     norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     ok = vectors.select(key, vector).where(F.col(key).isNotNull() & (F.size(vector) == dims) & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x)))
-    ok = ok.withColumn("_n", norm).where("_n > 0").dropDuplicates([key])
+    ok = ok.withColumn("_n", norm).where("_n > 0")
     unit = F.transform(vector, lambda x: (x / F.col("_n")).cast("float"))
     return ok.select(key, unit.alias("v")).withColumn("node", F.xxhash64(F.transform("v", lambda x: F.round(x, 6))))
 
@@ -215,12 +215,13 @@ def similar_pairs(nodes: DataFrame, cosine: float, strongest: int = 40, block: i
         if held:
             yield _frame(src, dst, w, strong)
 
-    rows = nodes.select("node", "v").repartition(parallelism(spark), "node").mapInPandas(buckets, "bucket long, node long, q binary")
+    rows = nodes.select("node", "v").mapInPandas(buckets, "bucket long, node long, q binary")
     # as many tasks as hold some hundred thousand bucket rows each
     parts = max(parallelism(spark), math.ceil(n * directions.tables / 400_000))
     found = in_cells(rows, most).repartition(parts, "cell").sortWithinPartitions("cell").mapInPandas(links, "src long, dst long, w double, strong boolean")
-    found = found.groupBy("src", "dst").agg(F.max("w").alias("w"), F.max("strong").alias("strong"))
-    return exact_links(materialise(found), nodes, cosine)
+    found = materialise(found.groupBy("src", "dst").agg(F.max("w").alias("w"), F.max("strong").alias("strong")))
+    free_shuffles(spark)
+    return exact_links(found, nodes, cosine)
 
 
 def exact_links(found: DataFrame, nodes: DataFrame, cosine: float, slack: float = SLACK) -> DataFrame:
@@ -350,6 +351,8 @@ def _split(x: np.ndarray, cosine: float, least: int, weight: np.ndarray | None =
     out = np.full(len(x), -1)
     if weight.sum() < least:
         return out
+    if len(x) <= block and (x @ x.T >= cosine - 1e-6).all():  # as the steps below would find
+        return np.zeros(len(x), np.int64)
     rest = np.arange(len(x))
     deg = _degrees(x, cosine)
     for number in range(len(x)):
@@ -388,7 +391,8 @@ def _similar(x: np.ndarray, rows: np.ndarray, among: np.ndarray, cosine: float,
 
 def _name(pdf: pd.DataFrame) -> int:
     """The node of the strongest flow names a set of nodes; ties go to the smaller."""
-    return int(pdf.sort_values(["flow", "node"], ascending=[False, True])["node"].iloc[0])
+    flow, node = pdf["flow"].to_numpy(), pdf["node"].to_numpy()
+    return int(node[flow == flow.max()].min())
 
 
 def checked_groups(rows: DataFrame, group: str, cosine: float, least: int) -> DataFrame:
@@ -443,8 +447,11 @@ class VectorClusters:
 
     def __init__(self, vectors: DataFrame, key: str = "chunk_id", vector: str = "vector", cosine: float = 0.85, least: int = 10) -> None:
         self.key, self.cosine, self.least = key, cosine, least
-        self.units = materialise(unit_vectors(vectors, key, vector))
-        nodes = self.units.dropDuplicates(["node"]).select("node", "v")
+        rows = unit_vectors(vectors, key, vector)
+        # a vector moves once, to meet its equals; keys and nodes go without it
+        nodes = materialise(rows.groupBy("node").agg(F.first("v").alias("v")))
+        self.units = materialise(rows.select(key, "node").dropDuplicates([key]))
+        free_shuffles(vectors.sparkSession)
         edges = similar_pairs(nodes, cosine)
         copies = self.units.groupBy("node").agg(F.count("*").alias("copies"))
         # a set of equal vectors is a cluster of its own if it has no other links
