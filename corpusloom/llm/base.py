@@ -59,6 +59,15 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+#: Up to so many narrow rows (ids and numbers, no texts or vectors) are sent to all executors.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A table that is written already, marked for broadcast if it has at most so many rows; beyond that it is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.base import materialise
+from corpusloom.llm.base import materialise, small
 
 
 def contracted(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -15,8 +15,9 @@ def contracted(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     rounds that follow meet few edges."""
     ends = edges.select(F.col("src").alias("node"), F.col("dst").alias("other")).unionByName(edges.select(F.col("dst").alias("node"), F.col("src").alias("other")))
     label = materialise(ends.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("label")))
-    a, b = label.select(F.col("node").alias("src"), F.col("label").alias("x")), label.select(F.col("node").alias("dst"), F.col("label").alias("y"))
-    between = edges.select("src", "dst").join(a, "src").select("dst", "x").distinct().join(b, "dst")
+    near = small(label)
+    a, b = near.select(F.col("node").alias("src"), F.col("label").alias("x")), near.select(F.col("node").alias("dst"), F.col("label").alias("y"))
+    between = edges.select("src", "dst").join(a, "src").join(b, "dst").where("x <> y")
     return label, materialise(between.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).where("u <> v").distinct())
 
 

@@ -20,10 +20,11 @@ import math
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.base import free_shuffles, iter_groups, materialise, parallelism
+from corpusloom.llm.base import free_shuffles, iter_groups, materialise, parallelism, small
 from corpusloom.llm.components import components
 
 #: What the rounding of vectors to bytes may change in a cosine.
@@ -79,11 +80,19 @@ def unit_vectors(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     """(key, node, v): the rows with a usable vector, scaled to length one; equal vectors share a node. Repeated rows stay."""
     size = vectors.where(F.size(vector) > 0).groupBy(F.size(vector).alias("d")).count().orderBy(F.desc("count"), "d").first()
     dims = size["d"] if size else 0
-    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    ok = vectors.select(key, vector).where(F.col(key).isNotNull() & (F.size(vector) == dims) & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x)))
-    ok = ok.withColumn("_n", norm).where("_n > 0")
-    unit = F.transform(vector, lambda x: (x / F.col("_n")).cast("float"))
-    return ok.select(key, unit.alias("v")).withColumn("node", F.xxhash64(F.transform("v", lambda x: F.round(x, 6))))
+    kind = vectors.schema[key].dataType.simpleString()
+
+    def units(batches):
+        for pdf in batches:
+            x = np.stack(pdf[vector].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, 1))
+            n = np.sqrt((x * x).sum(1))
+            ok = np.isfinite(n) & (n > 0)
+            v = (x[ok] / n[ok, None]).astype(np.float32)
+            node = np.array([xxhash.xxh64_intdigest(r.tobytes()) for r in np.round(v, 6) + np.float32(0)], np.uint64).view(np.int64)
+            yield pd.DataFrame({key: pdf[key].to_numpy()[ok], "node": node, "v": list(v)})
+
+    whole = F.col(key).isNotNull() & (F.size(vector) == dims) & ~F.exists(vector, lambda x: x.isNull())
+    return vectors.select(key, vector).where(whole).mapInPandas(units, f"`{key}` {kind}, node long, v array<float>")
 
 
 def _bucket_arrays(batches):
@@ -229,7 +238,9 @@ def exact_links(found: DataFrame, nodes: DataFrame, cosine: float, slack: float
     unsure = found.where(F.col("w") < cosine + slack)
     if unsure.isEmpty():
         return found
-    a, b = nodes.select(F.col("node").alias("src"), F.col("v").alias("a")), nodes.select(F.col("node").alias("dst"), F.col("v").alias("b"))
+    ends = materialise(unsure.select(F.explode(F.array("src", "dst")).alias("node")).distinct())
+    held = nodes.select("node", "v").join(small(ends), "node", "left_semi")
+    a, b = held.select(F.col("node").alias("src"), F.col("v").alias("a")), held.select(F.col("node").alias("dst"), F.col("v").alias("b"))
     dot = F.aggregate(F.zip_with("a", "b", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
     told = unsure.join(a, "src").join(b, "dst").withColumn("w", dot).where(F.col("w") >= cosine - 1e-6).select(found.columns)
     return materialise(found.where(F.col("w") >= cosine + slack).unionByName(told))
@@ -288,9 +299,11 @@ def mcl_sparse(entries: DataFrame, inflation: float, prune: float) -> DataFrame:
 def markov_clusters(edges: DataFrame, inflation: float = 2.0, prune: float = 1e-4, block: int = 1500) -> DataFrame:
     """(node, cluster, flow): the attractor of every node of the graph, and its flow there."""
     spark = edges.sparkSession
-    comp = materialise(components(edges.select("src", "dst")))
+    comp = components(edges.select("src", "dst"))
     sizes = comp.groupBy("component").agg(F.count("*").alias("size"))
-    placed = edges.join(comp.withColumnRenamed("node", "src"), "src").join(sizes, "component")
+    comp = materialise(comp.join(sizes, "component"))
+    free_shuffles(spark)
+    placed = edges.join(small(comp).withColumnRenamed("node", "src"), "src")
 
     def squares(batches):
         for pdf in iter_groups(batches, "component"):
@@ -299,8 +312,8 @@ def markov_clusters(edges: DataFrame, inflation: float = 2.0, prune: float = 1e-
             at, flow = mcl_block(len(ids), inv[:h], inv[h:], pdf["w"].to_numpy(), inflation, prune)
             yield pd.DataFrame({"node": ids, "cluster": ids[at], "flow": flow})
 
-    small = placed.where(F.col("size") <= block).select("component", "src", "dst", "w").repartition(parallelism(spark), "component").sortWithinPartitions("component")
-    out = small.mapInPandas(squares, "node long, cluster long, flow double")
+    dense = placed.where(F.col("size") <= block).select("component", "src", "dst", "w").repartition(parallelism(spark), "component").sortWithinPartitions("component")
+    out = dense.mapInPandas(squares, "node long, cluster long, flow double")
     large = placed.where(F.col("size") > block)
     if not large.isEmpty():
         both = large.select(F.col("src").alias("i"), F.col("dst").alias("j"), "w").unionByName(large.select(F.col("dst").alias("i"), F.col("src").alias("j"), "w"))
@@ -459,7 +472,9 @@ class VectorClusters:
         linked, weak = edges.where("strong").select(ends), edges.where("not strong").select(ends)
         alone = copies.where(F.col("copies") >= least).select("node").unionByName(weak).distinct().join(linked, "node", "left_anti")
         found = markov_clusters(edges.where("strong").drop("strong")).unionByName(alone.select("node", F.col("node").alias("cluster"), F.lit(1.0).alias("flow")))
-        parts = checked_groups(found.join(nodes, "node").join(copies, "node"), "cluster", cosine, least)
+        found = materialise(found.join(copies, "node"))
+        free_shuffles(vectors.sparkSession)
+        parts = checked_groups(nodes.join(small(found), "node"), "cluster", cosine, least)
         parts = rejoined(parts, edges, nodes, cosine, least).where("whole").select("node", "flow", "copies", F.col("part").alias("cluster"))
         sizes = parts.groupBy("cluster").agg(F.sum("copies").cast("int").alias("size"))
         self.members = self.units.select(key, "node").join(parts.select("node", "cluster", "flow"), "node").join(sizes, "cluster")
