@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.base import balanced, not_blank, words
+from corpusloom.llm.base import balanced, materialise, not_blank, parallelism, words
 from corpusloom.llm.neardup import Hasher, _mix
 
 #: Up to so many rows a side of a join is sent to all executors (24 bytes a row).
@@ -94,10 +94,11 @@ def leaked_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: s
     if not 0 < gram <= least:
         raise ValueError("gram must lie between 1 and least")
     window = least - gram + 1
-    of_items = fingerprints(items.dropDuplicates([item]).repartition(4, item), item, gram, window).distinct().cache()
+    of_items = materialise(fingerprints(items.dropDuplicates([item]).repartition(parallelism(docs.sparkSession), item), item, gram, window).distinct())
     wide = balanced(docs.select(key, "text"), key)
     of_docs = fingerprints(wide, key, gram, window)
-    hits = of_docs.join(_small(of_docs, of_items), "h").select(key, item).distinct().cache()
+    # beyond the broadcast, a fingerprint that very many documents hold is a skewed partition of a plain join, which is split at run time
+    hits = materialise(of_docs.join(_small(of_docs, of_items), "h").select(key, item).distinct())
     probe = _small(docs, hits)
     tests = items.dropDuplicates([item]).select(item, F.col("text").alias("item_text"))
     pairs = docs.select(key, "text").where(F.col("text").isNotNull()).join(probe, key).join(tests, item)
