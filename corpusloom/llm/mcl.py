@@ -17,6 +17,7 @@ the smaller node; an empty table gives an empty result; extra columns are ignore
 from __future__ import annotations
 
 import math
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -402,9 +403,8 @@ def _similar(x: np.ndarray, rows: np.ndarray, among: np.ndarray, cosine: float,
     return n
 
 
-def _name(pdf: pd.DataFrame) -> int:
+def _name(node: np.ndarray, flow: np.ndarray) -> int:
     """The node of the strongest flow names a set of nodes; ties go to the smaller."""
-    flow, node = pdf["flow"].to_numpy(), pdf["node"].to_numpy()
     return int(node[flow == flow.max()].min())
 
 
@@ -414,20 +414,30 @@ def checked_groups(rows: DataFrame, group: str, cosine: float, least: int) -> Da
     ``part`` is a set of similar nodes (``whole``) or what is left of the group. ``head`` is the node that stands for a whole
     part, and a left node itself; at a head stands the mean of the vectors it stands for."""
 
+    names = ["node", "flow", "copies", "within", "part", "whole", "head", "mean"]
+
     def check(batches):
+        held, size = [], 0
         for pdf in iter_groups(batches, group):
+            node, flow, copies, within = (pdf[c].to_numpy() for c in ("node", "flow", "copies", group))
             x = np.stack(pdf["v"].to_numpy()).astype(np.float64)
-            number = _split(x, cosine, least, pdf["copies"].to_numpy())
+            number = _split(x, cosine, least, copies)
             for n in np.unique(number):
-                own = number == n
-                part, nodes = pdf[own], pdf["node"][own].to_numpy()
-                name = _name(part)
-                mean = [None] * len(part)
+                own = np.flatnonzero(number == n)
+                name = _name(node[own], flow[own])
                 if n >= 0:
-                    mean[int(np.flatnonzero(nodes == name)[0])] = x[own].mean(0)
+                    mean = [None] * len(own)
+                    mean[int(np.flatnonzero(node[own] == name)[0])] = x[own].mean(0)
                 else:
                     mean = list(x[own])
-                yield part[["node", "flow", "copies"]].assign(within=part[group], part=name, whole=n >= 0, head=name if n >= 0 else nodes, mean=mean)
+                one = np.full(len(own), name)
+                held.append((node[own], flow[own], copies[own], within[own], one, np.full(len(own), n >= 0), one if n >= 0 else node[own], mean))
+            size += len(pdf)
+            if size > 20_000:
+                yield pd.DataFrame({c: list(chain.from_iterable(h[i] for h in held)) if c == "mean" else np.concatenate([h[i] for h in held]) for i, c in enumerate(names)})
+                held, size = [], 0
+        if held:
+            yield pd.DataFrame({c: list(chain.from_iterable(h[i] for h in held)) if c == "mean" else np.concatenate([h[i] for h in held]) for i, c in enumerate(names)})
 
     rows = rows.select(group, "node", "flow", "copies", "v").repartition(parallelism(rows.sparkSession), group).sortWithinPartitions(group, "node")
     return materialise(rows.mapInPandas(check, "node long, flow double, copies long, within long, part long, whole boolean, head long, mean array<float>"))
