@@ -1,7 +1,10 @@
 import hashlib
+import random
 import re
+import time
 import unicodedata
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -99,3 +102,34 @@ def test_fuzzy_links_are_complete(spark):
     for i, a in enumerate(norm):
         want = 0 if not a else sum(1 for j, b in enumerate(norm) if j != i and b and (2 * py_lcs(a, b) / (len(a) + len(b)) >= 0.85 or a == b))
         assert got[i] == want, (a, got[i], want)
+
+
+@pytest.mark.parametrize("tile", [7, 1024])
+@pytest.mark.parametrize("alphabet", ["ab", "abcdefgh ", "\u00e9\u00dfab\U0001d538\u65e5\u672c\u8a9e x"])
+def test_like_titles_against_all_pairs(monkeypatch, alphabet, tile):
+    """Also of titles longer than one word of bits, beyond the counted steps and of letters that share a lot."""
+    from corpusloom.functions import titles
+
+    monkeypatch.setattr(titles, "_TILE", tile)
+    rng = random.Random(len(alphabet))
+    base = ["".join(rng.choices(alphabet, k=k)) for k in (1, 3, 30, 63, 64, 65, 130, 200)]
+    x, y = ([("".join(c for c in rng.choice(base) if rng.random() > 0.05) + rng.choice(["", "s", "zz"])) or "q" for _ in range(40)] for _ in range(2))
+    for t in (0.5, 0.85, 1.0):
+        like = lambda a, b: 2.0 * common_subsequence(a, b) / (len(a) + len(b)) >= t  # noqa: B023, E731
+        got = lambda *z: set(zip(*(v.tolist() for v in titles.like_titles(*z, threshold=t, at_once=50))))  # noqa: B023, E731
+        assert got(x) == {(i, j) for j in range(40) for i in range(j) if like(x[i], x[j])}
+        assert got(x, y) == {(i, j) for i in range(40) for j in range(40) if like(x[i], y[j])}
+
+
+def test_title_links_of_few_patterns_in_time(spark):
+    """Titles of one pattern share most of their letter pairs; a join by those had nearly every pair of titles many times over."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice(["cas", "bel", "mor", "dul", "zel", "fen", "hal", "ith", "vey", "rim"]) for _ in range(3))
+    names = [word() for _ in range(120)]
+    titles = [f"letters to {rng.choice(names)} concerning the {rng.choice(names)}" for _ in range(4000)]
+    began = time.monotonic()
+    got = {r["title"]: r["links"] for r in fuzzy_title_links(spark.createDataFrame(list(enumerate(titles)), "id int, title string"), "id").collect()}
+    assert time.monotonic() - began < 60
+    assert got.keys() == set(titles)
+    for t in rng.sample(sorted(got), 20):
+        assert got[t] == sum(2.0 * common_subsequence(t, u) / (len(t) + len(u)) >= 0.85 for u in titles) - 1
