@@ -1,7 +1,7 @@
 """Problem 8: lay documents into containers of a fixed number of tokens by lexical retrieval.
 
 Items (documents, or pieces of those larger than a container, cut at word ends) go to shards of about ``shard_rows`` like ones: a
-spherical k-means, fitted to the word vectors of a bounded sample (about ``most_sampled`` documents), assigns every item to
+spherical k-means, fitted to the word vectors of all items with the word counts of all items, assigns every item to
 a cell; inside a cell items follow one another by their telling word (a MinHash weighted by rarity), and the row of all cells is cut
 into shards of equal size, through a large group of one word as well, so that no shard grows with the data. Each shard builds an
 inverted BM25 index of its items; the largest unused item seeds a container, and the index returns the unused items most like it,
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.base import balanced, iter_groups, materialise, not_blank, parallelism
+from corpusloom.llm.base import balanced, free_shuffles, iter_groups, materialise, not_blank, parallelism
 from corpusloom.llm.tokens import PieceCounter, counter_of
 
 #: A word, or any other non-blank character.
@@ -176,97 +176,148 @@ def bag(low: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
 
 
 class Places:
-    """Cells of like texts, fitted to a sample: ``rarity`` of the sample's words, ``centres`` in the hashed word space."""
+    """Cells of like items: ``terms`` are the numbers of the words that count (sorted), ``rarity`` their weights, ``centres`` those of the cells."""
 
     dims = 256
 
-    def __init__(self, rarity: dict[str, float]) -> None:
-        self.rarity, self.centres = rarity, np.zeros((1, self.dims), np.float32)
-        self.at: dict[str, int] | None = None
-
-    def __getstate__(self):
-        return {"rarity": self.rarity, "centres": self.centres, "at": None}
-
-    def _rows(self, words: list[str]) -> np.ndarray:
-        """Rows of the known words; dimension, signed rarity, number and lot of every word are worked out once per worker."""
-        if self.at is None:
-            self.at = {w: i for i, w in enumerate(self.rarity)}
-            r = np.array(list(self.rarity.values()))
-            self.number = np.array([_NUMBERS[w] for w in self.rarity], np.int64)
-            self.dim = self.number % self.dims
-            self.value = np.where((self.number >> 16) & 1, r, -r)
-            self.lot = np.array([-math.log((xxhash.xxh64_intdigest(w, seed=1) + 1) / 2**64) for w in self.rarity]) / np.maximum(r, 1e-9)
-        return np.fromiter((i for i in map(self.at.get, words) if i is not None), np.int64)
-
-    def vector(self, words: list[str]) -> np.ndarray:
-        i = self._rows(words)
-        x = np.bincount(self.dim[i], weights=self.value[i], minlength=self.dims).astype(np.float32)
-        norm = float(np.sqrt((x * x).sum()))
-        return x / norm if norm else x
-
-    def fit(self, x: np.ndarray, cells: int, rounds: int = 12) -> None:
-        """Spherical k-means; cells are numbered along the direction in which their centres differ most."""
-        rng = np.random.default_rng(3)
-        if not len(x):
-            return
-        c = x[rng.choice(len(x), min(cells, len(x)), replace=False)].copy()
-        for _ in range(rounds):
-            own = (x @ c.T).argmax(1)
-            total = np.zeros_like(c)
-            np.add.at(total, own, x)
-            norm = np.sqrt((total * total).sum(1, keepdims=True))
-            c = np.where(norm > 0, total / np.maximum(norm, 1e-9), c)
-        u = c - c.mean(0)
-        self.centres = c[np.argsort(u @ np.linalg.svd(u, full_matrices=False)[2][0], kind="stable")]
-
-    def __call__(self, words: list[str]) -> tuple[int, int]:
-        """(cell, number of the telling word)."""
-        i = self._rows(words)
-        telling = int(self.number[i[self.lot[i].argmin()]]) if len(i) else 0
-        return int((self.centres @ self.vector(words)).argmax()), telling
-
-
-def fit_places(rows: DataFrame, key: str, most_sampled: int, cells: int) -> Places:
-    """Places fitted to about ``most_sampled`` rows, those whose key hash lies below a bound; the words of at least three of them count."""
-    share = min(1.0, most_sampled / max(1, rows.count()))
-    sample = materialise(rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int(share * (1 << 40))).select(key, F.lower("text").alias("text")))
-    held = sample.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"\p{L}{3,}"), F.lit(0)))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-    n = sample.count()
-    places = Places({r["w"]: math.log(1 + (n - r["n"] + 0.5) / (r["n"] + 0.5)) for r in held.where((F.col("n") >= min(3, n)) & (F.col("n") <= max(3, n // 2))).collect()})  # of the sample
+    def __init__(self, terms: np.ndarray, rarity: np.ndarray) -> None:
+        self.terms, self.rarity, self.centres = terms, rarity, np.zeros((1, self.dims), np.float32)
+        self.dim = terms.astype(np.int64) % self.dims
+        self.value = np.where((terms >> 16) & 1, rarity, -rarity)
+        lot = np.array([-math.log((xxhash.xxh64_intdigest(t.tobytes(), seed=1) + 1) / 2**64) for t in terms]) / np.maximum(rarity, 1e-9)
+        self.by_lot = np.argsort(lot, kind="stable")
+        self.rank = np.argsort(self.by_lot)
+
+    def _words(self, held: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(item, place in ``terms``) of each word that counts, of the term numbers of many items."""
+        t = np.frombuffer(b"".join(held), np.int32)
+        item = np.repeat(np.arange(len(held)), [len(x) // 4 for x in held])
+        if not len(self.terms):
+            return item[:0], item[:0]
+        i = np.minimum(np.searchsorted(self.terms, t), len(self.terms) - 1)
+        known = self.terms[i] == t
+        return item[known], i[known]
+
+    def vectors(self, held: list[bytes]) -> np.ndarray:
+        """Unit vectors in the hashed word space in bytes of each one's own scale, zeros for items without words that count."""
+        item, i = self._words(held)
+        x = np.bincount(item * self.dims + self.dim[i], weights=self.value[i], minlength=len(held) * self.dims).reshape(-1, self.dims)
+        return np.rint(x * (127 / np.maximum(np.abs(x).max(1, keepdims=True), 1e-9))).astype(np.int8)
+
+    def cells(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(unit vectors, cells) of vectors in bytes."""
+        x = x.astype(np.float32)
+        x /= np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1)
+        return x, (x @ self.centres.T).argmax(1)
+
+    def __call__(self, held: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(cells, numbers of the telling words) of many items; 0 for items without words that count."""
+        item, i = self._words(held)
+        first = np.full(len(held), len(self.terms), np.int64)
+        np.minimum.at(first, item, self.rank[i])
+        telling = np.append(self.terms[self.by_lot], np.int32(0))[first]
+        return self.cells(self.vectors(held))[1].astype(np.int32), telling
+
+
+def fit_places(items: DataFrame, key: str, cells: int, rate: float = 3 / 5000, rounds: int = 12) -> Places:
+    """Places fitted to all items, given their ``terms``: words of at least three items and of ``rate`` of them, at most of half of them, count.
+
+    Spherical k-means: every round goes over all items and adds up whole numbers, so that the partitions don't matter. Cells are numbered
+    along the direction in which their centres differ most."""
+    spark = items.sparkSession
+    n = items.count()
+
+    def count(batches):
+        for pdf in batches:
+            t, k = np.unique(np.frombuffer(b"".join(pdf["terms"]), np.int32), return_counts=True)
+            yield pd.DataFrame({"t": t, "n": k})
+
+    held = items.select("terms").mapInPandas(count, "t int, n long").groupBy("t").agg(F.sum("n").alias("n"))
+    held = held.where(F.col("n").between(max(min(3, n), rate * n), max(3, n // 2))).orderBy("t").toPandas()
+    df = held["n"].to_numpy(np.float64)
+    places = Places(held["t"].to_numpy(np.int32), np.log(1 + (n - df + 0.5) / (df + 0.5)))
+    shared = spark.sparkContext.broadcast(places)
 
     def vectors(batches):
         for pdf in batches:
-            yield pd.DataFrame({"x": [places.vector(bag(t)[2]).tolist() for t in pdf["text"]]})
-
-    x = sample.mapInPandas(vectors, "x array<float>").toPandas()["x"]
-    places.fit(np.array(x.tolist(), np.float32).reshape(len(x), places.dims), cells)
+            x = shared.value.vectors(list(pdf["terms"]))
+            some = x.any(1)
+            yield pd.DataFrame({"h": pdf["h"][some], "x": [v.tobytes() for v in x[some]]})
+
+    x = materialise(items.select(F.xxhash64(key, "piece_no").alias("h"), "terms").mapInPandas(vectors, "h long, x binary"))
+    read = lambda rows: np.frombuffer(b"".join(rows), np.int8).reshape(-1, Places.dims)
+    seeds = read(list(dict.fromkeys(bytes(r["x"]) for r in x.orderBy("h", "x").limit(4 * cells).collect()))[:cells])
+    places.centres = seeds.astype(np.float32) / np.maximum(np.linalg.norm(seeds, axis=1, keepdims=True), 1).astype(np.float32)
+
+    for _ in range(rounds if len(seeds) else 0):
+        now = Places(places.terms[:0], places.rarity[:0])
+        now.centres = places.centres
+
+        def add(batches, now=now):
+            total = np.zeros((len(now.centres), now.dims), np.int64)
+            for pdf in batches:
+                unit, own = now.cells(read(pdf["x"]))
+                order = np.argsort(own, kind="stable")
+                cell, first = np.unique(own[order], return_index=True)
+                total[cell] += np.add.reduceat(np.rint(unit[order] * 65536).astype(np.int32), first, axis=0, dtype=np.int64)
+            some = np.flatnonzero(total.any(1))
+            yield pd.DataFrame({"cell": some.astype(np.int32), "total": [total[c].tobytes() for c in some]})
+
+        def add_up(batches):
+            total: dict[int, np.ndarray] = {}
+            for pdf in batches:
+                for c, t in zip(pdf["cell"], pdf["total"]):
+                    total[c] = total.get(c, 0) + np.frombuffer(t, np.int64)
+            yield pd.DataFrame({"cell": list(total), "total": [t.tobytes() for t in total.values()]})
+
+        kind = "cell int, total binary"
+        c = places.centres.copy()
+        for r in x.mapInPandas(add, kind).repartition(min(8, cells), "cell").mapInPandas(add_up, kind).collect():
+            t = np.frombuffer(r["total"], np.int64).astype(np.float64)
+            c[r["cell"]] = t / np.linalg.norm(t)
+        moved, places.centres = float(np.abs(c - places.centres).max()), c
+        if moved < 1e-6:
+            break
+    if len(seeds):
+        u = places.centres - places.centres.mean(0)
+        places.centres = places.centres[np.argsort(u @ np.linalg.svd(u, full_matrices=False)[2][0], kind="stable")]
+    del x
+    free_shuffles(spark)
     return places
 
 
-def pack_documents(docs: DataFrame, pieces: set[str], key: str = "doc_id", capacity: int = 1024, shard_rows: int = 1200, most_sampled: int = 5000, cells: int = 64) -> DataFrame:
+def pack_documents(docs: DataFrame, pieces: set[str], key: str = "doc_id", capacity: int = 1024, shard_rows: int = 1200, cells: int = 64) -> DataFrame:
     """(key, piece_no, n_pieces, start, end, tokens, container, shard): one row per document, or per piece of a larger one."""
     rows = docs.select(key, "text").where(F.col(key).isNotNull() & not_blank(F.col("text")))
     spark = docs.sparkSession
-    places = spark.sparkContext.broadcast(fit_places(rows, key, most_sampled, cells))
     shared = spark.sparkContext.broadcast(pieces)
     kind = docs.schema[key].dataType.simpleString()
 
     def cut(batches):
-        counter, where = counter_of(shared), places.value
+        counter = counter_of(shared)
         for pdf in batches:
             out = []
             for ident, text in zip(pdf[key], pdf["text"]):
                 _, cuts = cut_sizes(text, counter, capacity)
                 low = text.lower()
                 for no, (a, b, t) in enumerate(cuts):
-                    terms, n, words = bag(low[a:b])
-                    out.append((ident, no, len(cuts), a, b, t, *where(words), terms.tobytes(), n.tobytes()))
-            yield pd.DataFrame(out, columns=[key, "piece_no", "n_pieces", "start", "end", "tokens", "cell", "telling", "terms", "counts"])
+                    terms, n, _ = bag(low[a:b])
+                    out.append((ident, no, len(cuts), a, b, t, terms.tobytes(), n.tobytes()))
+            yield pd.DataFrame(out, columns=[key, "piece_no", "n_pieces", "start", "end", "tokens", "terms", "counts"])
 
     fields = f"`{key}` {kind}, piece_no int, n_pieces int, start int, end int, tokens int"
-    items = materialise(balanced(rows, key).mapInPandas(cut, fields + ", cell int, telling int, terms binary, counts binary"))
-    # where the group of a telling word begins in its cell; groups are at most cells x words of the sample
-    groups = items.groupBy("cell", "telling").agg(F.count("*").alias("group_n"))
+    cut_items = materialise(balanced(rows, key).mapInPandas(cut, fields + ", terms binary, counts binary"))
+    places = spark.sparkContext.broadcast(fit_places(cut_items, key, cells))
+
+    def place(batches):
+        for pdf in batches:
+            cell, telling = places.value(list(pdf["terms"]))
+            yield pdf.assign(cell=cell, telling=telling)
+
+    items = cut_items.mapInPandas(place, fields + ", terms binary, counts binary, cell int, telling int")
+    held = cut_items.select("terms").mapInPandas(place, "terms binary, cell int, telling int")
+    # where the group of a telling word begins in its cell; groups are at most cells x words that count
+    groups = held.groupBy("cell", "telling").agg(F.count("*").alias("group_n"))
     groups = groups.withColumn("begin", F.sum("group_n").over(Window.partitionBy("cell").orderBy("telling")) - F.col("group_n"))
     sizes = groups.groupBy("cell").agg(F.sum("group_n").alias("cell_n"))
     before = sizes.select("cell", (F.sum("cell_n").over(Window.orderBy("cell")) - F.col("cell_n")).alias("before"))  # a row a cell

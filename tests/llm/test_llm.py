@@ -607,6 +607,27 @@ def test_like_items_share_shards(spark):
     assert ((kinds < 0.05) | (kinds > 0.95)).mean() >= 0.8 and out.groupby("shard").size().max() <= 160
 
 
+def test_places_are_fitted_to_all_items(spark):
+    """Word counts and centres are those of every item, whatever the partitions; a sample of 5,000 had other ones."""
+    rng = random.Random(4)
+    word = {k: [f"{k}{c}{d}" for c in "abcdefg" for d in "hijk"] for k in ("salt", "rain", "wind")}
+    texts = [" ".join(rng.choices(word[rng.choice(list(word))], k=8)) for _ in range(9000)]
+    held = [packing.bag(t)[0].tobytes() for t in texts]
+    items = frame(spark, [(i, 0, bytearray(t)) for i, t in enumerate(held)], "doc_id long, piece_no int, terms binary")
+    one, seven = (packing.fit_places(items.repartition(k, "doc_id"), "doc_id", 5) for k in (1, 7))
+    df = Counter(w for t in texts for w in set(t.split()))
+    want = {int(packing._NUMBERS[w]): np.log(1 + (9000 - n + 0.5) / (n + 0.5)) for w, n in df.items()}
+    got = dict(zip(one.terms.tolist(), one.rarity.tolist()))
+    assert got.keys() == want.keys() and all(abs(got[t] - want[t]) < 1e-9 for t in want)
+    assert np.allclose(one.centres, seven.centres, atol=1e-6) and len(one.centres) == 5
+    plain = packing.fit_places(items, "doc_id", 5, rounds=0)
+    for _ in range(12):
+        unit, own = plain.cells(plain.vectors(held))
+        total = np.array([unit[own == c].sum(0) for c in range(5)])
+        plain.centres = (total / np.linalg.norm(total, axis=1, keepdims=True)).astype(np.float32)
+    assert np.abs(one.centres @ plain.centres.T).max(1).min() > 0.9999
+
+
 # ---- 9 leakage --------------------------------------------------------------------------------------------------------------------------------------
 
 
