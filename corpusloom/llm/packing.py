@@ -247,7 +247,8 @@ def fit_places(items: DataFrame, key: str, cells: int, rate: float = 3 / 5000, r
     x = materialise(items.select(F.xxhash64(key, "piece_no").alias("h"), "terms").mapInPandas(vectors, "h long, x binary"))
     read = lambda rows: np.frombuffer(b"".join(rows), np.int8).reshape(-1, Places.dims)
     seeds = read(list(dict.fromkeys(bytes(r["x"]) for r in x.orderBy("h", "x").limit(4 * cells).collect()))[:cells])
-    places.centres = seeds.astype(np.float32) / np.maximum(np.linalg.norm(seeds, axis=1, keepdims=True), 1).astype(np.float32)
+    if len(seeds):
+        places.centres = places.cells(seeds)[0]
 
     for _ in range(rounds if len(seeds) else 0):
         now = Places(places.terms[:0], places.rarity[:0])

@@ -628,6 +628,12 @@ def test_places_are_fitted_to_all_items(spark):
     assert np.abs(one.centres @ plain.centres.T).max(1).min() > 0.9999
 
 
+def test_pack_without_words(spark):
+    """Texts that hold no word of letters have no vector; they are packed all the same."""
+    out = packing.pack_documents(frame(spark, [(i, "12 34 5") for i in range(20)], "doc_id long, text string"), {"salt"}, capacity=64).toPandas()
+    assert sorted(out["doc_id"]) == list(range(20)) and out.groupby("container")["tokens"].sum().max() <= 64
+
+
 # ---- 9 leakage --------------------------------------------------------------------------------------------------------------------------------------
 
 

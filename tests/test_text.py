@@ -133,3 +133,9 @@ def test_title_links_of_few_patterns_in_time(spark):
     assert got.keys() == set(titles)
     for t in rng.sample(sorted(got), 20):
         assert got[t] == sum(2.0 * common_subsequence(t, u) / (len(t) + len(u)) >= 0.85 for u in titles) - 1
+
+
+def test_title_links_of_odd_tables(spark):
+    links = lambda titles: [r["links"] for r in fuzzy_title_links(spark.createDataFrame(list(enumerate(titles)), "id int, title string"), "id").orderBy("id").collect()]
+    assert links([]) == [] and links([None, "", "  "]) == [0, 0, 0]
+    assert links(["a", "x" * 3000, "A ", "x" * 2500 + "y", None, "x" * 900]) == [1, 1, 1, 1, 0, 0]
